@@ -33,11 +33,27 @@ def header_names(headers: Column) -> Column:
     return F.coalesce(names, F.array().cast("array<string>"))
 
 
+def set_headers(headers: Column, values: dict[str, Column]) -> Column:
+    """Replace every header of the given names by one each at the end, in the order given.
+
+    A null value leaves its name as it was; null headers stay null.
+    """
+    names = F.array(*[F.when(value.isNotNull(), F.lit(name)) for name, value in values.items()])
+    added = F.array(
+        *[
+            F.struct(F.lit(name).alias("key"), value.cast("binary").alias("value"))
+            for name, value in values.items()
+        ]
+    )
+    kept = F.filter(
+        headers,
+        lambda header: ~F.coalesce(F.array_contains(names, header["key"]), F.lit(False)),
+    )
+    return F.concat(kept, F.filter(added, lambda header: header["value"].isNotNull()))
+
+
 def set_header(headers: Column, name: str, value: Column) -> Column:
-    """Replace every header of that name by one at the end; no change if headers or value is null."""
-    kept = F.filter(headers, lambda header: ~header["key"].eqNullSafe(F.lit(name)))
-    added = F.array(F.struct(F.lit(name).alias("key"), value.cast("binary").alias("value")))
-    return F.when(headers.isNull() | value.isNull(), headers).otherwise(F.concat(kept, added))
+    return set_headers(headers, {name: value})
 
 
 def no_headers() -> Column:

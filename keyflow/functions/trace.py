@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from keyflow.functions.text import last_header, set_header
+from keyflow.functions.text import last_header, set_headers
 
 # Header names, span name and tag names.
 TRACEPARENT = "traceparent"
@@ -112,12 +112,14 @@ def with_span(rows: DataFrame) -> DataFrame:
 def inject_context(
     headers: Column, trace_id: Column, span_id: Column, sampled: Column, trace_state: Column
 ) -> Column:
-    """Write the current span into the headers in all three forms."""
+    """Write the current span into the headers in all three forms, replacing what was there."""
     flag = F.when(sampled, F.lit("1")).otherwise(F.lit("0"))
-    traceparent = F.concat(F.lit("00-"), trace_id, F.lit("-"), span_id, F.lit("-0"), flag)
-    headers = set_header(headers, TRACEPARENT, traceparent)
-    headers = set_header(headers, TRACESTATE, trace_state)
-    headers = set_header(headers, B3_TRACE_ID, trace_id)
-    headers = set_header(headers, B3_SPAN_ID, span_id)
-    headers = set_header(headers, B3_SAMPLED, flag)
-    return set_header(headers, B3_SINGLE, F.concat_ws("-", trace_id, span_id, flag))
+    values = {
+        TRACEPARENT: F.concat(F.lit("00-"), trace_id, F.lit("-"), span_id, F.lit("-0"), flag),
+        TRACESTATE: trace_state,
+        B3_TRACE_ID: trace_id,
+        B3_SPAN_ID: span_id,
+        B3_SAMPLED: flag,
+        B3_SINGLE: F.concat_ws("-", trace_id, span_id, flag),
+    }
+    return set_headers(headers, values)

@@ -47,9 +47,8 @@ def rollout_bucket(flag: str, context_key: Column) -> Column:
     return F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint") % 10000
 
 
-def _decision(rule: Column, bucket: Column) -> Column:
-    inside = rule["rollout_bp"].isNull() | (bucket < rule["rollout_bp"])
-    return F.when(rule.isNotNull(), rule["enabled"] & inside)
+def _value(enabled: Column, rollout_bp: Column, bucket: Column) -> Column:
+    return enabled & F.coalesce(bucket < rollout_bp.cast("int"), F.lit(True))
 
 
 def _rules(rules: DataFrame, flag: str, kind: str) -> DataFrame:
@@ -80,20 +79,22 @@ def with_flag(
     if settings is not None and settings.effective_offline():
         return rows.withColumn(name, F.lit(default))
     merged = _rules(rules, flag, kind)
+    # one number and at most one rule for all contexts reach the driver
+    rule_for_all = F.max(F.when(F.col("context_key").isNull(), F.col("_rule")))
+    count, general = merged.agg(F.count("context_key"), rule_for_all).first()
     explicit = merged.filter(F.col("context_key").isNotNull()).withColumnRenamed("context_key", "_ctx")
-    general = merged.filter(F.col("context_key").isNull()).select(F.col("_rule").alias("_general"))
     keyed = rows.withColumn("_ctx", context_key)
-    if explicit.limit(max_broadcast + 1).count() <= max_broadcast:
+    if count <= max_broadcast:
         joined = keyed.join(F.broadcast(explicit), "_ctx", "left")
     else:
         joined = lookup_join(keyed, explicit, "_ctx")
-    # at most one general rule per flag and kind: a grouped row of the null key
-    joined = joined.join(F.broadcast(general), F.lit(True), "left")
     bucket = rollout_bucket(flag, F.col("_ctx"))
-    value = F.coalesce(
-        _decision(F.col("_rule"), bucket), _decision(F.col("_general"), bucket), F.lit(default)
-    )
-    return joined.withColumn(name, value).drop("_ctx", "_rule", "_general")
+    fallback = F.lit(default)
+    if general is not None:
+        fallback = _value(F.lit(general["enabled"]), F.lit(general["rollout_bp"]), bucket)
+    rule = F.col("_rule")
+    own = F.when(rule.isNotNull(), _value(rule["enabled"], rule["rollout_bp"], bucket))
+    return joined.withColumn(name, F.coalesce(own, fallback)).drop("_ctx", "_rule")
 
 
 def customer_flag(rows: DataFrame, rules: DataFrame, flag: str, default: bool, **options) -> DataFrame:

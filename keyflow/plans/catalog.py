@@ -329,19 +329,26 @@ def batch_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _documents(target.snapshot(spark).read())
 
 
-def stream_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same log as a stream, landed and drained slice by slice; result: the outcome log.
-
-    Every drain goes on from the checkpoint of the one before.
-    """
+def _drain_slices(spark: SparkSession, sf_dir: str, memory: str, least: int, rows: int) -> DataFrame:
+    """The log landed and drained slice by slice, each drain from the checkpoint of the one before."""
     target = Target(scratch_path(use_utc(spark), "stream"), flag_rules(spark))
     landing = target.table("landing")
-    for part in _arrival_slices(_log(spark, sf_dir), 3, MAX_OFFSETS_PER_TRIGGER):
+    for part in _arrival_slices(_log(spark, sf_dir), least, rows):
         part.write.mode("append").parquet(landing)
-        run_stream(spark, stream_log(spark, landing, ALL_FILES), target, PROCESSED_AT)
+        run_stream(spark, stream_log(spark, landing, ALL_FILES), target, PROCESSED_AT, memory)
     return _outcome_view(read_batches(spark, target.table("outcome_log"), S.OUTCOME))
 
 
+def stream_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same log as a stream with keyed state; result: the outcome log."""
+    return _drain_slices(spark, sf_dir, "state", 2, MAX_OFFSETS_PER_TRIGGER)
+
+
+def stream_backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same log as a stream of large micro-batches that remember through the outcome log."""
+    return _drain_slices(spark, sf_dir, "log", 2, BATCH_ROWS)
+
+
 def landed_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quarantined records landed again and replayed: all of them fail again."""
     path = scratch_path(use_utc(spark), "replay")
@@ -381,6 +388,7 @@ QUERIES = {
         batch_pipeline,
         batch_snapshot,
         stream_pipeline,
+        stream_backfill,
         landed_replay,
     ]
 }

@@ -320,6 +320,7 @@ contexts AS (SELECT *, CASE WHEN regexp_matches(customer_id, '\\S') THEN custome
     "batch_pipeline": _with(_MARKED, _OUTCOME_VIEW),
     "batch_snapshot": _with(f"{_LATEST}, {_OLD}", _MERGED.format(insert_old="", insert_new="")),
     "stream_pipeline": _with(_MARKED, _OUTCOME_VIEW),
+    "stream_backfill": _with(_MARKED, _OUTCOME_VIEW),
     "landed_replay": _with(
         _LOG,
         f"SELECT {_PLACE}, dedup_key, 'FAILED' AS outcome, failure AS reason, "

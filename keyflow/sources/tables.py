@@ -65,22 +65,28 @@ class SnapshotTable:
         return (version, versions.index(version)) if version >= 0 else (-1, 1)
 
     def read(self) -> DataFrame:
-        version, slot = self.current()
+        return self._read_slot(*self.current())
+
+    def _read_slot(self, version: int, slot: int) -> DataFrame:
         if version < 0:
             return self.spark.createDataFrame([], S.CUSTOMER)
         return self.spark.read.schema(S.CUSTOMER).parquet(f"{self.path}/slot={slot}")
 
-    def replace(self, snapshot: DataFrame, version: int) -> None:
-        slot = 1 - self.current()[1]
+    def _write_slot(self, snapshot: DataFrame, version: int, slot: int) -> None:
         snapshot.select(*S.CUSTOMER.names).write.mode("overwrite").parquet(f"{self.path}/slot={slot}")
         marker = self.spark.createDataFrame([(version,)], _MARKER).coalesce(1)
         marker.write.mode("overwrite").parquet(f"{self.path}/marker={slot}")
 
+    def replace(self, snapshot: DataFrame, version: int) -> None:
+        self._write_slot(snapshot, version, 1 - self.current()[1])
+
     def merge(self, updates: DataFrame, version: int) -> bool:
         """Merge one document per customer as ``version``; False if that version is already in."""
-        if version <= self.current()[0]:
+        stored, slot = self.current()
+        if version <= stored:
             return False
-        self.replace(merge_snapshot(self.read(), updates), version)
+        merged = merge_snapshot(self._read_slot(stored, slot), updates)
+        self._write_slot(merged, version, 1 - slot)
         return True
 
 

@@ -5,11 +5,12 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, Row
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from keyflow import schemas as S
-from keyflow.operators.dedup import delivery_place, ttl_micros
+from keyflow.operators.dedup import ttl_micros
 
 STATE = S.struct(last_us="bigint", topic="string", partition="int", offset="bigint")
 STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -23,6 +24,10 @@ def output_schema(rows: DataFrame) -> T.StructType:
     return T.StructType([*rows.schema.fields, *added])
 
 
+def _order(row: Row) -> tuple:
+    return row["_us"], row["partition"], row["offset"], row["topic"]
+
+
 class TtlDedup(StatefulProcessor):
     """Remembers the last accepted delivery of a key and marks every row against it.
 
@@ -30,7 +35,8 @@ class TtlDedup(StatefulProcessor):
     limit bounds how many there can be.
     """
 
-    def __init__(self, ttl_us: int, cleanup: bool):
+    def __init__(self, columns: list[str], ttl_us: int, cleanup: bool):
+        self._columns = columns
         self._ttl_us = ttl_us
         self._cleanup = cleanup
 
@@ -40,10 +46,10 @@ class TtlDedup(StatefulProcessor):
         self._last = handle.getValueState("last", STATE, ttlDurationMs=cleanup_ms)
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
-        last = self._last.get() if self._last.exists() else None
-        stored = last
-        for row in sorted(rows, key=lambda row: tuple(row["_place"])):
-            us, partition, offset, topic = row["_place"]
+        last = self._last.get()
+        stored, marked = last, Row(*self._columns)
+        for row in sorted(rows, key=_order):
+            us, partition, offset, topic = _order(row)
             accepted = last is None or us - last[0] >= self._ttl_us
             reason = None
             if accepted:
@@ -51,7 +57,7 @@ class TtlDedup(StatefulProcessor):
             else:
                 same = (last[1], last[2], last[3]) == (topic, partition, offset)
                 reason = "offset" if same else "idempotency-key"
-            yield Row(*row, accepted, reason)
+            yield marked(*row, accepted, reason)
         if last is not stored:
             self._last.update(tuple(last))
 
@@ -65,14 +71,15 @@ def stream_ttl_dedup(rows: DataFrame, ttl: str = S.DEDUP_TTL, always_on: bool =
     ``always_on`` adds processing-time cleanup of old state. Replays leave it off: a store that
     watches the clock keeps a finite run from ending.
     """
-    placed = rows.withColumn("_place", delivery_place())
+    placed = rows.withColumn("_us", F.unix_micros("arrival_ts"))
+    schema = output_schema(placed)
     marked = placed.groupBy("dedup_key").transformWithState(
-        statefulProcessor=TtlDedup(ttl_micros(ttl), always_on),
-        outputStructType=output_schema(placed),
+        statefulProcessor=TtlDedup(schema.names, ttl_micros(ttl), always_on),
+        outputStructType=schema,
         outputMode="Append",
         timeMode="ProcessingTime" if always_on else "None",
     )
-    return marked.drop("_place")
+    return marked.drop("_us")
 
 
 def stream_first_wins(rows: DataFrame, delay: str = S.DEDUP_TTL) -> DataFrame:

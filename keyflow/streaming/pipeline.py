@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from keyflow.operators.classify import failed_rows, marked_outcome, valid_rows, with_dedup_key
-from keyflow.plans.batch import Target, write_sinks
+from keyflow.plans.batch import Target, run_batch, write_sinks
 from keyflow.plans.outcomes import outcome_columns
 from keyflow.sources.tables import write_batch
 from keyflow.streaming.dedup_state import stream_ttl_dedup, use_state_store
@@ -29,23 +29,36 @@ def start_stream(
     target: Target,
     processed_at: datetime | str | None = None,
     always_on: bool = False,
+    memory: str = "state",
 ) -> StreamingQuery:
     """Start the pipeline; each micro-batch lands in the outcome log first, then in the other sinks.
 
+    ``memory`` says where accepted keys are remembered. ``state`` is the keyed state store: cheap for
+    small, frequent micro-batches, whose intake limit bounds a hot key. ``log`` runs each micro-batch
+    as a batch that reads the accepted keys of the last TTL back from the outcome log: all built-in
+    expressions and safe for any hot key, so it suits large micro-batches and backfills.
+
     A repeated micro-batch overwrites its own folders, so restarts write nothing twice. Without
     ``processed_at`` the time is taken once per micro-batch.
     """
-    use_state_store(spark)
+    if memory not in ("state", "log"):
+        raise ValueError("memory must be state or log")
 
     def write(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
         when = processed_at or session.range(1).select(F.current_timestamp()).first()[0]
-        write_batch(batch, target.table("outcome_log"), batch_id)
-        write_sinks(session, target, batch_id, when)
+        if memory == "log":
+            run_batch(session, batch, target, batch_id, when)
+        else:
+            write_batch(batch, target.table("outcome_log"), batch_id)
+            write_sinks(session, target, batch_id, when)
 
+    rows = envelopes
+    if memory == "state":
+        use_state_store(spark)
+        rows = stream_outcomes(envelopes, target, always_on)
     writer = (
-        stream_outcomes(envelopes, target, always_on)
-        .writeStream.outputMode("append")
+        rows.writeStream.outputMode("append")
         .option("checkpointLocation", target.table("checkpoint"))
         .foreachBatch(write)
     )
@@ -57,12 +70,13 @@ def run_stream(
     envelopes: DataFrame,
     target: Target,
     processed_at: datetime | str | None = None,
-    timeout: int = 1800,
+    memory: str = "state",
+    timeout: int | None = None,
 ) -> None:
     """Drain what has landed so far and stop."""
-    query = start_stream(spark, envelopes, target, processed_at)
+    query = start_stream(spark, envelopes, target, processed_at, memory=memory)
     try:
-        if not query.awaitTermination(timeout):
+        if query.awaitTermination(timeout) is False:
             raise TimeoutError("the stream did not drain in time")
     finally:
         query.stop()
