@@ -10,7 +10,7 @@ from keyflow.session import shared_folder
 # A key is heavy when it has more rows than HEAVY_FLOOR and more than 1/MAX_HEAVY_KEYS of all rows.
 # So at most MAX_HEAVY_KEYS keys are heavy, whatever the data: that set can always be broadcast, and
 # every other key holds at most max(HEAVY_FLOOR, total / MAX_HEAVY_KEYS) rows.
-HEAVY_FLOOR = 10_000
+HEAVY_FLOOR = 100_000
 MAX_HEAVY_KEYS = 200_000
 
 

@@ -18,6 +18,7 @@ from keyflow.plans.outcomes import build_outcomes
 from keyflow.sources.tables import (
     SnapshotTable,
     read_batch,
+    read_batches,
     read_if_present,
     to_kafka_rows,
     write_batch,
@@ -27,7 +28,11 @@ from keyflow.sources.tables import (
 
 @dataclass(frozen=True)
 class Target:
-    """Where a pipeline writes, and how it publishes."""
+    """Where a pipeline writes, and how it publishes.
+
+    The snapshot is rewritten by every merge; with small batches ``merge_every`` lets several batches
+    share one. Nothing is lost in between: a merge takes all batches the snapshot does not have yet.
+    """
 
     path: str
     rules: DataFrame
@@ -36,6 +41,7 @@ class Target:
     codec: str = "json"
     schema_id: int | None = None
     kafka_options: dict[str, str] | None = None
+    merge_every: int = 1
 
     def table(self, name: str) -> str:
         return f"{self.path.rstrip('/')}/{name}"
@@ -66,8 +72,8 @@ def write_sinks(spark: SparkSession, target: Target, batch_id: int, processed_at
     """
     log = read_batch(spark, target.table("outcome_log"), S.OUTCOME, batch_id)
     write_batch(quarantine_rows(log), target.table("quarantine"), batch_id)
-    done = log.filter(F.col("outcome") == S.PROCESSED)
-    target.snapshot(spark).merge(latest_per_customer(done, processed_at), batch_id)
+    if (batch_id + 1) % target.merge_every == 0:
+        merge_pending(spark, target, batch_id, processed_at)
     records = outbound_records(publishable(log, target.rules, target.settings), processed_at)
     if target.kafka_options is None:
         write_batch(records, target.table("outbound"), batch_id)
@@ -75,6 +81,20 @@ def write_sinks(spark: SparkSession, target: Target, batch_id: int, processed_at
         write_kafka(to_kafka_rows(records, target.codec, target.schema_id), target.kafka_options)
 
 
+def merge_pending(
+    spark: SparkSession, target: Target, batch_id: int, processed_at: datetime
+) -> bool:
+    """Bring the snapshot up to a batch from the outcome log; False if it is already there."""
+    snapshot = target.snapshot(spark)
+    log = read_batches(spark, target.table("outcome_log"), S.OUTCOME)
+    pending = log.filter(
+        (F.col("batch_id") > snapshot.current()[0])
+        & (F.col("batch_id") <= batch_id)
+        & (F.col("outcome") == S.PROCESSED)
+    )
+    return snapshot.merge(latest_per_customer(pending, processed_at), batch_id)
+
+
 def quarantine_rows(log: DataFrame) -> DataFrame:
     """Records held back for a later replay, with the reason; the stream goes on without them."""
     return log.filter(needs_retry(F.col("outcome")))

@@ -11,7 +11,7 @@ from keyflow.functions.text import has_text, header_names, iso_instant, last_hea
 from keyflow.functions.trace import extract_context, with_span
 from keyflow.operators import classify, dedup, flags, publish, reports, upsert
 from keyflow.operators.skew import lookup_join
-from keyflow.plans.batch import Target, quarantine_rows, run_batch
+from keyflow.plans.batch import Target, quarantine_rows, replay_rows, run_batch
 from keyflow.plans.outcomes import build_outcomes
 from keyflow.plans.testlog import flag_rules, inbound_log, landed_log, old_snapshot
 from keyflow.session import scratch_path, use_utc
@@ -49,6 +49,10 @@ def _outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return build_outcomes(_log(spark, sf_dir))
 
 
+def _failed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return classify.failed_rows(classify.with_dedup_key(_log(spark, sf_dir)))
+
+
 def _done(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _outcomes(spark, sf_dir).filter(F.col("outcome") == S.PROCESSED)
 
@@ -250,12 +254,17 @@ def pii_redacted(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
-    held = quarantine_rows(_outcomes(spark, sf_dir))
+    """Failure is decided before dedup, so this needs no shuffle."""
+    held = quarantine_rows(_failed(spark, sf_dir))
     return _place(held).select(*PLACE, "outcome", "reason", *_event_columns())
 
 
 def _polls(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reports.poll_batches(reports.first_deliveries(_outcomes(spark, sf_dir)))
+    """Polls over the written outcome log: numbering reads it twice, so dedup must not be in it."""
+    path = scratch_path(spark, "outcomes")
+    narrow = _outcomes(spark, sf_dir).select("topic", "partition", "offset", "arrival_ts", "outcome")
+    narrow.write.parquet(path)
+    return reports.poll_batches(reports.first_deliveries(spark.read.schema(narrow.schema).parquet(path)))
 
 
 def poll_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -352,7 +361,7 @@ def stream_backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
 def landed_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quarantined records landed again and replayed: all of them fail again."""
     path = scratch_path(use_utc(spark), "replay")
-    quarantine_rows(_outcomes(spark, sf_dir)).select(*S.ENVELOPE.names).write.parquet(path)
+    replay_rows(quarantine_rows(_failed(spark, sf_dir))).write.parquet(path)
     return _outcome_view(build_outcomes(read_log(spark, path), batch_id=1))
 
 

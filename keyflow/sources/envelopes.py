@@ -64,15 +64,23 @@ def stream_kafka(spark: SparkSession, options: dict[str, str], codec: str = "jso
     return from_kafka_columns(records, codec, F.current_timestamp())
 
 
-def read_log(spark: SparkSession, path: str) -> DataFrame:
-    """A landed envelope log as a batch."""
-    return _default_arrival(spark.read.schema(S.ENVELOPE).parquet(path))
+def read_log(spark: SparkSession, path: str, default_arrival: bool = False) -> DataFrame:
+    """A landed envelope log as a batch; filters on its columns reach the files.
 
+    ``default_arrival`` takes the record's own time where no arrival time was landed.
+    """
+    return _arrived(spark.read.schema(S.ENVELOPE).parquet(path), default_arrival)
 
-def stream_log(spark: SparkSession, path: str, max_files: int = MAX_FILES_PER_TRIGGER) -> DataFrame:
+
+def stream_log(
+    spark: SparkSession,
+    path: str,
+    max_files: int = MAX_FILES_PER_TRIGGER,
+    default_arrival: bool = False,
+) -> DataFrame:
     """A landed envelope log as a stream, oldest files first; files must land in arrival order."""
     reader = spark.readStream.schema(S.ENVELOPE).option("maxFilesPerTrigger", str(max_files))
-    return _default_arrival(reader.parquet(path))
+    return _arrived(reader.parquet(path), default_arrival)
 
 
 def read_raw_log(spark: SparkSession, path: str, codec: str = "json") -> DataFrame:
@@ -81,5 +89,7 @@ def read_raw_log(spark: SparkSession, path: str, codec: str = "json") -> DataFra
     return from_kafka_columns(raw, codec, F.coalesce("arrival_ts", "timestamp"))
 
 
-def _default_arrival(log: DataFrame) -> DataFrame:
+def _arrived(log: DataFrame, default_arrival: bool) -> DataFrame:
+    if not default_arrival:
+        return log
     return log.withColumn("arrival_ts", F.coalesce("arrival_ts", "timestamp"))
