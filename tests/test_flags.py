@@ -1,0 +1,87 @@
+import hashlib
+
+import pytest
+from conftest import envelope, log_of
+from pyspark.sql import functions as F
+
+from keyflow import schemas as S
+from keyflow.operators import flags
+
+FLAG = S.OUTBOUND_FLAG
+
+
+def rules_of(spark, *rows):
+    return spark.createDataFrame(list(rows), S.FLAG_RULES)
+
+
+def evaluate(spark, customers, rules, default=True, **options):
+    log = log_of(spark, [envelope(c, n) for n, c in enumerate(customers)])
+    rows = flags.customer_flag(log, rules, FLAG, default, **options).orderBy("offset").collect()
+    return [row.flag_enabled for row in rows]
+
+
+def test_without_rules_the_default_holds(spark):
+    assert evaluate(spark, ["a"], rules_of(spark), default=True) == [True]
+    assert evaluate(spark, ["a"], rules_of(spark), default=False) == [False]
+
+
+@pytest.mark.parametrize("max_broadcast", [0, 100])
+def test_own_rule_comes_before_the_rule_for_all(spark, max_broadcast):
+    rules = rules_of(
+        spark,
+        (FLAG, "customer", "a", False, None),
+        (FLAG, "customer", None, True, None),
+        ("other-flag", "customer", "b", False, None),
+        (FLAG, "application", "b", False, None),
+    )
+    assert evaluate(spark, ["a", "b"], rules, False, max_broadcast=max_broadcast) == [False, True]
+
+
+def test_blank_id_is_the_anonymous_customer(spark):
+    rules = rules_of(spark, (FLAG, "customer", "anonymous", False, None))
+    assert evaluate(spark, [None, " ", "a"], rules) == [False, False, True]
+
+
+def test_strictest_of_repeated_rules(spark):
+    rules = rules_of(spark, (FLAG, "customer", "a", True, None), (FLAG, "customer", "a", False, None))
+    assert evaluate(spark, ["a", "b"], rules) == [False, True]
+
+
+def test_rollout_follows_the_bucket(spark):
+    ids = [str(n) for n in range(60)]
+    want = [int(hashlib.md5(f"{FLAG}.{i}".encode()).hexdigest()[:8], 16) % 10000 < 4000 for i in ids]
+    rules = rules_of(spark, (FLAG, "customer", None, True, 4000))
+    assert evaluate(spark, ids, rules) == want
+    assert 5 < sum(want) < 55
+
+
+def test_application_scope(spark):
+    log = log_of(spark, [envelope()])
+    rules = rules_of(spark, (FLAG, "application", "app", False, None))
+    for application, want in [("app", False), ("another", True)]:
+        got = flags.application_flag(log, rules, FLAG, True, application).first()
+        assert got.flag_enabled is want
+
+
+OFFLINE = [
+    (flags.FlagSettings(True, "sdk-1", False), False),
+    (flags.FlagSettings(True, "sdk-1", True), True),
+    (flags.FlagSettings(False, "sdk-1", False), True),
+    (flags.FlagSettings(True, S.PLACEHOLDER_SDK_KEY, False), True),
+    (flags.FlagSettings(True, " ", False), True),
+    (flags.FlagSettings(), True),
+]
+
+
+@pytest.mark.parametrize("settings, offline", OFFLINE)
+def test_offline_gives_the_default(spark, settings, offline):
+    assert settings.effective_offline() is offline
+    rules = rules_of(spark, (FLAG, "customer", None, False, None))
+    assert evaluate(spark, ["a"], rules, True, settings=settings) == [offline]
+
+
+def test_offline_over_columns(spark):
+    rows = [(s.enabled, s.sdk_key, s.offline, want) for s, want in OFFLINE]
+    frame = spark.createDataFrame(rows, "enabled boolean, sdk_key string, offline boolean, want boolean")
+    got = flags.effective_offline(F.col("enabled"), F.col("sdk_key"), F.col("offline"))
+    assert frame.filter(~got.eqNullSafe(F.col("want"))).isEmpty()
