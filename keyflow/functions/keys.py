@@ -29,6 +29,8 @@ def dedup_key(topic: Column, partition: Column, offset: Column, header: Column)
     offset key implies a live header key: the header alone decides where there is one, the offset
     where there is none. One key means one shuffle.
     """
-    return F.when(has_text(header), idempotency_key(header)).otherwise(
+    key = F.when(has_text(header), idempotency_key(header)).otherwise(
         offset_key(topic, partition, offset)
     )
+    # never null, and said so: else joins on the key would filter on it, computing it once more
+    return F.coalesce(key, F.lit(""))

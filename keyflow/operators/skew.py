@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from keyflow.session import shared_folder
+from keyflow.session import scratch_path
 
 # A key is heavy when it has more rows than HEAVY_FLOOR and more than 1/MAX_HEAVY_KEYS of all rows.
 # So at most MAX_HEAVY_KEYS keys are heavy, whatever the data: that set can always be broadcast, and
@@ -19,17 +20,17 @@ def heavy_keys(
 ) -> DataFrame | None:
     """The heavy keys as a one-column table of at most ``max_keys`` rows, or None without any.
 
-    Counting combines map-side, and only two numbers reach the driver.
+    One counting pass that combines map-side; the keys over the floor are written, so the set stays
+    the same however often it is read.
     """
-    counts = rows.groupBy(key).agg(F.count(F.lit(1)).alias("n")).filter(F.col(key).isNotNull())
-    total, largest = counts.agg(F.sum("n"), F.max("n")).first()
-    if total is None:
-        return None
-    limit = max(floor, total // max_keys)
-    if largest <= limit:
-        return None
-    shared_folder(rows.sparkSession)
-    return counts.filter(F.col("n") > limit).select(key).checkpoint()
+    spark, path, seen = rows.sparkSession, scratch_path(rows.sparkSession, "heavy"), Observation()
+    counts = rows.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+    total = F.coalesce(F.sum("n"), F.lit(0)).alias("total")
+    counts.observe(seen, total).filter(F.col("n") > floor).write.parquet(path)
+    limit = max(floor, seen.get["total"] // max_keys)
+    schema = T.StructType([rows.schema[key], T.StructField("n", T.LongType())])
+    heavy = spark.read.schema(schema).parquet(path).filter(F.col("n") > limit).select(key)
+    return None if heavy.isEmpty() else heavy
 
 
 def split_heavy(rows: DataFrame, heavy: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
