@@ -34,7 +34,7 @@ def heavy_keys(
 
 
 def split_heavy(rows: DataFrame, heavy: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
-    """Rows of heavy keys and all other rows (null keys among them); no shuffle."""
+    """Rows of heavy keys and all other rows; no shuffle."""
     small = F.broadcast(heavy)
     return rows.join(small, key, "left_semi"), rows.join(small, key, "left_anti")
 
@@ -52,12 +52,16 @@ def lookup_join(
     and the rest is a plain shuffled join on keys of bounded size.
     """
     heavy = heavy_keys(rows, key, floor, max_keys)
-    if heavy is None:
-        return rows.join(lookup, key, "left")
-    hot, rest = split_heavy(rows, heavy, key)
-    hot_lookup = lookup.join(F.broadcast(heavy), key, "left_semi")
-    joined = hot.join(F.broadcast(hot_lookup), key, "left")
-    keyed = rest.filter(F.col(key).isNotNull()).join(lookup, key, "left")
-    missing = [F.lit(None).cast(f.dataType).alias(f.name) for f in lookup.schema if f.name != key]
-    keyless = rest.filter(F.col(key).isNull()).select("*", *missing)
-    return joined.unionByName(keyed).unionByName(keyless)
+    keyed, parts = rows, []
+    if rows.schema[key].nullable:
+        keyed = rows.filter(F.col(key).isNotNull())
+        missing = [F.lit(None).cast(f.dataType).alias(f.name) for f in lookup.schema if f.name != key]
+        parts.append(rows.filter(F.col(key).isNull()).select("*", *missing))
+    if heavy is not None:
+        hot, keyed = split_heavy(keyed, heavy, key)
+        hot_lookup = lookup.join(F.broadcast(heavy), key, "left_semi")
+        parts.append(hot.join(F.broadcast(hot_lookup), key, "left"))
+    joined = keyed.join(lookup, key, "left")
+    for part in parts:
+        joined = joined.unionByName(part)
+    return joined

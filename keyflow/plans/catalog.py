@@ -23,7 +23,6 @@ from keyflow.streaming.pipeline import run_stream
 PROCESSED_AT = "2024-02-15 00:00:00"
 APPLICATION = "keyflow"
 BATCH_ROWS = 50_000_000_000
-ALL_FILES = 1_000_000
 PLACE = ["topic", "partition", "offset", "arrival_us"]
 
 
@@ -321,7 +320,7 @@ def _arrival_slices(log: DataFrame, least: int, max_rows: int) -> list[DataFrame
     return slices
 
 
-def batch_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+def batch_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The log through the batch pipeline in slices of arrival time; result: the outcome log."""
     target = Target(scratch_path(use_utc(spark), "batch"), flag_rules(spark))
     for batch_id, part in enumerate(_arrival_slices(_log(spark, sf_dir), 2, BATCH_ROWS)):
@@ -344,11 +343,11 @@ def _drain_slices(spark: SparkSession, sf_dir: str, memory: str, least: int, row
     landing = target.table("landing")
     for part in _arrival_slices(_log(spark, sf_dir), least, rows):
         part.write.mode("append").parquet(landing)
-        run_stream(spark, stream_log(spark, landing, ALL_FILES), target, PROCESSED_AT, memory)
+        run_stream(spark, stream_log(spark, landing, max_bytes=None), target, PROCESSED_AT, memory)
     return _outcome_view(read_batches(spark, target.table("outcome_log"), S.OUTCOME))
 
 
-def stream_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+def stream_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same log as a stream with keyed state; result: the outcome log."""
     return _drain_slices(spark, sf_dir, "state", 2, MAX_OFFSETS_PER_TRIGGER)
 
@@ -394,9 +393,9 @@ QUERIES = {
         outcome_counts,
         hot_keys,
         trace_columns,
-        batch_pipeline,
+        batch_outcomes,
         batch_snapshot,
-        stream_pipeline,
+        stream_outcomes,
         stream_backfill,
         landed_replay,
     ]

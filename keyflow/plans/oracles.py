@@ -317,9 +317,9 @@ contexts AS (SELECT *, CASE WHEN regexp_matches(customer_id, '\\S') THEN custome
         "'customer.ingest.process' AS span_name, "
         "'kafka|' || topic || '|' || partition || '|' || \"offset\" AS tags FROM spans",
     ),
-    "batch_pipeline": _with(_MARKED, _OUTCOME_VIEW),
+    "batch_outcomes": _with(_MARKED, _OUTCOME_VIEW),
     "batch_snapshot": _with(f"{_LATEST}, {_OLD}", _MERGED.format(insert_old="", insert_new="")),
-    "stream_pipeline": _with(_MARKED, _OUTCOME_VIEW),
+    "stream_outcomes": _with(_MARKED, _OUTCOME_VIEW),
     "stream_backfill": _with(_MARKED, _OUTCOME_VIEW),
     "landed_replay": _with(
         _LOG,

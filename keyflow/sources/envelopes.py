@@ -8,9 +8,9 @@ from pyspark.sql import functions as F
 from keyflow import schemas as S
 from keyflow.sources.codecs import decode
 
-# Records per micro-batch over all partitions. It also bounds what one key can bring in one batch.
+# Intake of one micro-batch over all partitions. It also bounds what one key can bring in one batch.
 MAX_OFFSETS_PER_TRIGGER = 200_000
-MAX_FILES_PER_TRIGGER = 64
+MAX_BYTES_PER_TRIGGER = 128 * 1024 * 1024
 
 
 def kafka_read_options(
@@ -75,11 +75,16 @@ def read_log(spark: SparkSession, path: str, default_arrival: bool = False) -> D
 def stream_log(
     spark: SparkSession,
     path: str,
-    max_files: int = MAX_FILES_PER_TRIGGER,
+    max_bytes: int | None = MAX_BYTES_PER_TRIGGER,
     default_arrival: bool = False,
 ) -> DataFrame:
-    """A landed envelope log as a stream, oldest files first; files must land in arrival order."""
-    reader = spark.readStream.schema(S.ENVELOPE).option("maxFilesPerTrigger", str(max_files))
+    """A landed envelope log as a stream, oldest files first; files must land in arrival order.
+
+    ``max_bytes`` bounds a micro-batch; without it, each one takes all files that are there.
+    """
+    reader = spark.readStream.schema(S.ENVELOPE)
+    if max_bytes is not None:
+        reader = reader.option("maxBytesPerTrigger", str(max_bytes))
     return _arrived(reader.parquet(path), default_arrival)
 
 

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
-from pyspark.sql import DataFrame, Row
+from pyspark import cloudpickle
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
@@ -15,6 +17,9 @@ from keyflow.operators.dedup import ttl_micros
 STATE = S.struct(last_us="bigint", topic="string", partition="int", offset="bigint")
 STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
+# The processor travels by value, so executors need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 def output_schema(rows: DataFrame) -> T.StructType:
     added = [
@@ -87,6 +92,8 @@ def stream_first_wins(rows: DataFrame, delay: str = S.DEDUP_TTL) -> DataFrame:
     return rows.withWatermark("arrival_ts", delay).dropDuplicatesWithinWatermark(["dedup_key"])
 
 
-def use_state_store(spark) -> None:
+def use_state_store(spark: SparkSession) -> None:
+    """Store settings; batches without data are off, as a store with cleanup asks for them forever."""
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
     spark.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
+    spark.conf.set("spark.sql.streaming.noDataMicroBatches.enabled", "false")

@@ -8,10 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from keyflow import schemas as S
 from keyflow.operators.classify import failed_rows, marked_outcome, valid_rows, with_dedup_key
-from keyflow.plans.batch import Target, run_batch, write_sinks
+from keyflow.plans.batch import Target, merge_pending, run_batch, write_sinks
 from keyflow.plans.outcomes import outcome_columns
-from keyflow.sources.tables import write_batch
+from keyflow.sources.tables import read_if_present, write_batch
 from keyflow.streaming.dedup_state import stream_ttl_dedup, use_state_store
 
 
@@ -23,6 +24,10 @@ def stream_outcomes(envelopes: DataFrame, target: Target, always_on: bool = Fals
     return outcome_columns(marked, 0).unionByName(outcome_columns(failed, 0))
 
 
+def _now(spark: SparkSession) -> datetime:
+    return spark.range(1).select(F.current_timestamp()).first()[0]
+
+
 def start_stream(
     spark: SparkSession,
     envelopes: DataFrame,
@@ -30,8 +35,9 @@ def start_stream(
     processed_at: datetime | str | None = None,
     always_on: bool = False,
     memory: str = "state",
+    interval: str = "10 seconds",
 ) -> StreamingQuery:
-    """Start the pipeline; each micro-batch lands in the outcome log first, then in the other sinks.
+    """Start the pipeline, for good or until what is there is done; each micro-batch lands in the outcome log first, then in the other sinks.
 
     ``memory`` says where accepted keys are remembered. ``state`` is the keyed state store: cheap for
     small, frequent micro-batches, whose intake limit bounds a hot key. ``log`` runs each micro-batch
@@ -46,7 +52,7 @@ def start_stream(
 
     def write(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
-        when = processed_at or session.range(1).select(F.current_timestamp()).first()[0]
+        when = processed_at or _now(session)
         if memory == "log":
             run_batch(session, batch, target, batch_id, when)
         else:
@@ -62,7 +68,9 @@ def start_stream(
         .option("checkpointLocation", target.table("checkpoint"))
         .foreachBatch(write)
     )
-    return writer.start() if always_on else writer.trigger(availableNow=True).start()
+    if always_on:
+        return writer.trigger(processingTime=interval).start()
+    return writer.trigger(availableNow=True).start()
 
 
 def run_stream(
@@ -73,10 +81,14 @@ def run_stream(
     memory: str = "state",
     timeout: int | None = None,
 ) -> None:
-    """Drain what has landed so far and stop."""
+    """Drain what has landed so far, bring the snapshot up to date, and stop."""
     query = start_stream(spark, envelopes, target, processed_at, memory=memory)
     try:
         if query.awaitTermination(timeout) is False:
             raise TimeoutError("the stream did not drain in time")
     finally:
         query.stop()
+    log = read_if_present(spark, target.table("outcome_log"), S.OUTCOME)
+    if target.merge_every > 1 and log is not None:
+        newest = log.agg(F.max("batch_id")).first()[0]
+        merge_pending(spark, target, newest, processed_at or _now(spark))

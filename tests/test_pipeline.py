@@ -104,7 +104,7 @@ def test_stream_equals_batch_over_a_restart(spark, target, memory):
     landing = target.table("landing")
     for part in (FIRST, SECOND):
         log_of(spark, part).write.mode("append").parquet(landing)
-        run_stream(spark, stream_log(spark, landing, 1000), target, AT, memory, timeout=300)
+        run_stream(spark, stream_log(spark, landing), target, AT, memory, timeout=300)
     whole = build_outcomes(log_of(spark, FIRST + SECOND))
     assert same_rows(table(spark, target, "outcome_log"), whole)
     assert {r.customerId: r.lastInboundOffset for r in target.snapshot(spark).read().collect()} == {"a": 5, "b": 6}
@@ -115,7 +115,7 @@ def test_stream_ttl_and_copies(spark, target):
     rows = [envelope("a", n, n, key="k") for n in (0, 4, 8, 14, 15)] + [envelope("b", 99)] * 3
     landing = target.table("landing")
     log_of(spark, rows).write.parquet(landing)
-    run_stream(spark, stream_log(spark, landing, 1000), target, AT, timeout=300)
+    run_stream(spark, stream_log(spark, landing), target, AT, timeout=300)
     assert same_rows(table(spark, target, "outcome_log"), build_outcomes(log_of(spark, rows)))
 
 
@@ -138,6 +138,30 @@ def test_stream_first_wins(spark, target):
     assert sorted(r.offset for r in spark.read.parquet(target.table("firsts")).collect()) == [1, 2]
 
 
+def test_always_on_stream(spark, target):
+    """State with processing-time cleanup marks like a replay."""
+    landing = target.table("landing")
+    log_of(spark, FIRST).write.parquet(landing)
+    query = start_stream(spark, stream_log(spark, landing), target, always_on=True, interval="1 second")
+    try:
+        query.processAllAvailable()
+        log_of(spark, SECOND).write.mode("append").parquet(landing)
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    whole = build_outcomes(log_of(spark, FIRST + SECOND))
+    assert same_rows(table(spark, target, "outcome_log"), whole)
+    assert {r.customerId for r in target.snapshot(spark).read().collect()} == {"a", "b"}
+
+
+def test_drain_catches_up_with_shared_merges(spark, tmp_path):
+    target = Target(str(tmp_path / "out"), spark.createDataFrame([], S.FLAG_RULES), merge_every=100)
+    landing = target.table("landing")
+    log_of(spark, FIRST).write.parquet(landing)
+    run_stream(spark, stream_log(spark, landing), target, AT, "log", timeout=300)
+    assert {r.customerId for r in target.snapshot(spark).read().collect()} == {"a", "b"}
+
+
 def test_unknown_memory(spark, target):
     with pytest.raises(ValueError):
         start_stream(spark, None, target, memory="elsewhere")
