@@ -19,8 +19,15 @@ MISSING = "PATH_NOT_FOUND"
 _MARKER = S.struct(version="bigint")
 
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    location = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return location.getFileSystem(spark._jsc.hadoopConfiguration()).exists(location)
+
+
 def read_if_present(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame | None:
-    """A table, or None when its folder does not exist yet."""
+    """A table, or None when its folder does not exist yet or is just being replaced."""
+    if not _exists(spark, path):
+        return None
     try:
         return spark.read.schema(schema).option("basePath", path).parquet(path)
     except AnalysisException as error:
