@@ -6,9 +6,10 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from keyflow.llm import bpe, token_counts, token_files
-from keyflow.llm.common import table
+from keyflow.llm import bpe, chat, decontaminate, language, token_counts, token_files
+from keyflow.llm.common import fold_of, table
 from keyflow.session import scratch_path
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -20,18 +21,35 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), PIECES)
 
 
+def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = fold_of(F.col("doc_id"), 5) == 0
+    model = language.fit(docs, ~held_out)
+    return language.predict(docs.select("doc_id", "text"), model).select(
+        "doc_id", held_out.alias("held_out"), "lang_pred", "score", F.size("spans").alias("n_spans")
+    )
+
+
 def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "tokens")
     token_files.write(table(spark, sf_dir, "documents"), WORD_BPE, path)
     return token_files.digests(token_files.read_tokens(spark, path))
 
 
+def op6_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.render(table(spark, sf_dir, "conversations"))
+
+
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     encoded = bpe.encode(table(spark, sf_dir, "documents"), BYTE_BPE)
     return bpe.digests(bpe.decode(encoded, BYTE_BPE))
 
 
+def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    query.__name__: query for query in (op2_token_counts, op4_token_files, op7_bpe)
+    query.__name__: query for query in (op2_token_counts, op3_language, op4_token_files, op6_chat, op7_bpe, op9_decontaminate)
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op6_chat": chat.SQL}
