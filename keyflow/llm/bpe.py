@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import pre_tokenizers
 
-from keyflow.llm.common import Memo, identified, list_array, small_batches
+from keyflow.llm.common import CACHE_ENTRIES, Memo, identified, list_array, small_batches
 
 #: Fixed value: the split rule of byte-level vocabularies.
 SPLIT = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
@@ -72,7 +72,7 @@ class Automaton:
         self.steps = len(model["merges"])
         self.table = Memo(lambda pair: self.arc(*divmod(pair, self.ids), self.steps), TABLE_ENTRIES)
         self.grow_tree()
-        self.words = Memo(self.encode_word)
+        self.words = Memo(self.encode_word, CACHE_ENTRIES // 2)
         self.spaced = Memo(lambda word: self.encode_chunk(" " + word))
 
     def add_gadget(self, step: int, first: int, second: int, merged: int) -> None:
