@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -57,6 +58,23 @@ def list_array(parts: list[bytes], dtype: str = "<i4") -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(parts), dtype)))
 
 
+def runs(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Table]:
+    """Tables of neighbouring rows with the same number in ``key``; the rows come sorted by it."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        numbers = batch[key].to_numpy(zero_copy_only=False)
+        cuts = [0, *(np.flatnonzero(numbers[1:] != numbers[:-1]) + 1).tolist(), len(numbers)]
+        for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+            if held and held[0][key][0].as_py() != int(numbers[a]):
+                yield pa.Table.from_batches(held)
+                held = []
+            held.append(batch.slice(a, b - a))
+    if held:
+        yield pa.Table.from_batches(held)
+
+
 class Memo(dict):
     """A bounded cache: ``fill`` computes what is missing. When it is full, its entries become the older half, of
     which only those in use come back; what was not used meanwhile goes with the next change."""

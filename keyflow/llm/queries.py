@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from keyflow.llm import bpe, chat, decontaminate, language, token_counts, token_files
+from keyflow.llm import bpe, chat, decontaminate, language, near_copies, nearest, token_counts, token_files
 from keyflow.llm.common import fold_of, table
 from keyflow.session import scratch_path
 
@@ -36,6 +36,10 @@ def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.digests(token_files.read_tokens(spark, path))
 
 
+def op5_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op6_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.render(table(spark, sf_dir, "conversations"))
 
@@ -49,7 +53,11 @@ def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op10_near_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_copies.classes(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    query.__name__: query for query in (op2_token_counts, op3_language, op4_token_files, op6_chat, op7_bpe, op9_decontaminate)
+    query.__name__: query for query in (op2_token_counts, op3_language, op4_token_files, op5_nearest, op6_chat, op7_bpe, op9_decontaminate, op10_near_copies)
 }
 ORACLES: dict[str, str] = {"op6_chat": chat.SQL}
