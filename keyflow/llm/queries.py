@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from keyflow.llm import bpe, chat, decontaminate, language, near_copies, nearest, token_counts, token_files
+from keyflow.llm import bpe, chat, decontaminate, language, near_copies, nearest, repeats, token_counts, token_files
 from keyflow.llm.common import fold_of, table
 from keyflow.session import scratch_path
 
@@ -17,6 +17,11 @@ WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
 
+def op1_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return repeats.remove(docs).select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), PIECES)
 
@@ -58,6 +63,6 @@ def op10_near_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    query.__name__: query for query in (op2_token_counts, op3_language, op4_token_files, op5_nearest, op6_chat, op7_bpe, op9_decontaminate, op10_near_copies)
+    query.__name__: query for query in (op1_repeats, op2_token_counts, op3_language, op4_token_files, op5_nearest, op6_chat, op7_bpe, op9_decontaminate, op10_near_copies)
 }
 ORACLES: dict[str, str] = {"op6_chat": chat.SQL}
