@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from keyflow.llm import bpe, chat, decontaminate, language, near_copies, nearest, repeats, token_counts, token_files
+from keyflow.llm import bpe, brown, chat, decontaminate, language, near_copies, nearest, repeats, token_counts, token_files
 from keyflow.llm.common import fold_of, table
 from keyflow.session import scratch_path
 
@@ -54,6 +54,10 @@ def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(bpe.decode(encoded, BYTE_BPE))
 
 
+def op8_brown(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return brown.score(table(spark, sf_dir, "documents"), fold_of(F.col("doc_id"), 10) == 0)
+
+
 def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -63,6 +67,6 @@ def op10_near_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    query.__name__: query for query in (op1_repeats, op2_token_counts, op3_language, op4_token_files, op5_nearest, op6_chat, op7_bpe, op9_decontaminate, op10_near_copies)
+    query.__name__: query for query in (op1_repeats, op2_token_counts, op3_language, op4_token_files, op5_nearest, op6_chat, op7_bpe, op8_brown, op9_decontaminate, op10_near_copies)
 }
 ORACLES: dict[str, str] = {"op6_chat": chat.SQL}
