@@ -28,6 +28,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from keyflow.llm.common import partitions, small_batches
 
@@ -346,10 +347,8 @@ def settle(table: pa.Table) -> pa.Table:
     return pa.table({"block": pa.array(blocks + more, pa.int64()), "spans": pa.array(packed + rows, pa.binary())})
 
 
-def cut(block: pa.Table, spans: pa.Table, schema: pa.Schema) -> pa.Table:
+def cut(block: pa.Table, spans: pa.Table, names: list[str], as_text: bool) -> pa.Table:
     """The rows of a block with the covered bytes taken out."""
-    if not block.num_rows:
-        return schema.empty_table()
     table, texts, keys, numbers = ordered(block)
     marks: dict[tuple[int, int], list[tuple[int, int]]] = {}
     for packed in spans["spans"].to_pylist() if spans.num_rows else ():
@@ -370,16 +369,18 @@ def cut(block: pa.Table, spans: pa.Table, schema: pa.Schema) -> pa.Table:
         stretches.append(count)
         kept.append(b"".join(parts))
     table = table.drop_columns(["_block", "_key"])
-    new = [pa.array([*map(len, texts)], pa.int64()), pa.array(removed, pa.int64()), pa.array(stretches, pa.int64()), pa.array(kept, pa.binary())]
-    return pa.Table.from_arrays([*table.columns, *new], names=schema.names)
+    rest = pa.array([x.decode("utf-8", "ignore") for x in kept], pa.string()) if as_text else pa.array(kept, pa.binary())
+    new = [pa.array([*map(len, texts)], pa.int64()), pa.array(removed, pa.int64()), pa.array(stretches, pa.int64()), rest]
+    return pa.Table.from_arrays([*table.columns, *new], names=names)
 
 
 ADDED = {"n_bytes": "bigint", "n_removed": "bigint", "n_spans": "bigint", "kept": "binary"}
 
 
-def remove(docs: DataFrame, group_rows: int = GROUP_ROWS) -> DataFrame:
+def remove(docs: DataFrame, group_rows: int = GROUP_ROWS, as_text: bool = False) -> DataFrame:
     """The columns of ``docs`` (``doc_id`` a whole number, ``text``) with ``n_bytes, n_removed, n_spans, kept``; columns
-    of these names are replaced. ``kept``: the bytes that remain, which may begin or end within a character.
+    of these names are replaced. ``kept``: the bytes that remain, which may begin or end within a character; with
+    ``as_text`` the text of these bytes without characters that were cut in part.
 
     A null text is empty; texts of fewer than 100 bytes neither lose nor cause anything. Earlier is: smaller ``doc_id``, then
     earlier start. Rows with a null id come before all others, in an order given by a hash of their text; rows that share an
@@ -392,7 +393,10 @@ def remove(docs: DataFrame, group_rows: int = GROUP_ROWS) -> DataFrame:
     docs = docs.drop(*ADDED, "_key", "_block").withColumn("_key", key)
     blocks = docs.withColumn("_block", F.pmod(F.xxhash64("_key"), F.lit(BLOCKS * buckets))).repartition(buckets, "_block")
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.drop("_key").schema)
-    schema = f"{columns}, " + ", ".join(f"{name} {kind}" for name, kind in ADDED.items())
+    added = ADDED | ({"kept": "string"} if as_text else {})
+    schema = f"{columns}, " + ", ".join(f"{name} {kind}" for name, kind in added.items())
+    names = [*docs.drop("_key").columns, *added]
+    empty = to_arrow_schema(spark.createDataFrame([], schema).schema).empty_table()
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return hashes_of(batches, buckets)
@@ -403,15 +407,9 @@ def remove(docs: DataFrame, group_rows: int = GROUP_ROWS) -> DataFrame:
     def merged(key: tuple, table: pa.Table) -> pa.Table:
         return merge(table, buckets)
 
-    names = [*docs.drop("_key").columns, *ADDED]
-
     def cut_out(key: tuple, block: pa.Table, spans: pa.Table) -> pa.Table:
-        kinds = [block.schema.field(x).type for x in names[: -len(ADDED)]] if block.num_rows else []
-        return cut(block, spans, pa.schema([*zip(names, [*kinds, pa.int64(), pa.int64(), pa.int64(), pa.binary()], strict=False)])) if block.num_rows else empty
+        return cut(block, spans, names, as_text) if block.num_rows else empty
 
-    from pyspark.sql.pandas.types import to_arrow_schema
-
-    empty = to_arrow_schema(spark.createDataFrame([], schema).schema).empty_table()
     hashes = blocks.mapInArrow(hashed, "bucket long, block long, hashes binary, counts binary")
     repeated = hashes.groupBy("bucket").applyInArrow(lambda table: repeated_of(table), "block long, hashes binary, loads binary")
     run_columns = "bucket long, salt int, block long, sizes binary, rests binary, lefts binary, places binary, spans binary"
