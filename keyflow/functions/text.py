@@ -61,7 +61,8 @@ def no_headers() -> Column:
 
 
 def iso_instant(instant: Column) -> Column:
-    """ISO-8601 text in UTC with six digits, whatever the session time zone."""
+    """ISO-8601 text in UTC with none, three or six digits as needed, whatever the session time zone."""
     epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
     in_utc = F.timestamp_add("MICROSECOND", F.unix_micros(instant), epoch)
-    return F.date_format(in_utc, ISO_INSTANT)
+    whole = F.regexp_replace(F.date_format(in_utc, ISO_INSTANT), r"\.000000Z$", "Z")
+    return F.regexp_replace(whole, r"(\.\d{3})000Z$", "$1Z")

@@ -14,6 +14,7 @@ B3_SINGLE = "b3"
 B3_TRACE_ID = "X-B3-TraceId"
 B3_SPAN_ID = "X-B3-SpanId"
 B3_SAMPLED = "X-B3-Sampled"
+B3_FLAGS = "X-B3-Flags"
 SPAN_NAME = "customer.ingest.process"
 TAG_SYSTEM = "messaging.system"
 TAG_DESTINATION = "messaging.destination"
@@ -27,7 +28,9 @@ _TRACE_ID = r"^([0-9a-f]{32}|[0-9a-f]{16})$"
 _SPAN_ID = r"^[0-9a-f]{16}$"
 
 
-def _context(valid: Column, trace: Column, span: Column, sampled: Column, source: str) -> Column:
+def _context(
+    valid: Column, trace: Column, span: Column, sampled: Column, source: str, debug: Column | None = None
+) -> Column:
     """A context struct, or null unless the ids are well formed and not all zero."""
     nonzero = trace.rlike("[^0]") & span.rlike("[^0]")
     fields = F.struct(
@@ -35,6 +38,7 @@ def _context(valid: Column, trace: Column, span: Column, sampled: Column, source
         span.alias("span_id"),
         F.coalesce(sampled, F.lit(False)).alias("sampled"),
         F.lit(source).alias("source"),
+        F.coalesce(F.lit(False) if debug is None else debug, F.lit(False)).alias("debug"),
     )
     return F.when(F.coalesce(valid & nonzero, F.lit(False)), fields)
 
@@ -58,14 +62,15 @@ def b3_single_context(headers: Column) -> Column:
     def part(group):
         return F.regexp_extract(value, _B3, group)
 
-    return _context(value.rlike(_B3), part(1), part(2), part(3).isin("1", "d"), "b3")
+    return _context(value.rlike(_B3), part(1), part(2), part(3).isin("1", "d"), "b3", part(3) == "d")
 
 
 def b3_multi_context(headers: Column) -> Column:
     trace, span = last_header(headers, B3_TRACE_ID), last_header(headers, B3_SPAN_ID)
     valid = trace.rlike(_TRACE_ID) & span.rlike(_SPAN_ID)
-    sampled = last_header(headers, B3_SAMPLED).isin("1", "true")
-    return _context(valid, trace, span, sampled, "b3-multi")
+    debug = F.coalesce(last_header(headers, B3_FLAGS) == "1", F.lit(False))
+    sampled = debug | last_header(headers, B3_SAMPLED).isin("1", "true")
+    return _context(valid, trace, span, sampled, "b3-multi", debug)
 
 
 def extract_context(headers: Column) -> Column:
@@ -100,6 +105,7 @@ def with_span(rows: DataFrame) -> DataFrame:
                 "parent_span_id": parent["span_id"],
                 "span_id": span_id,
                 "sampled": F.coalesce(parent["sampled"], F.lit(True)),
+                "debug": F.coalesce(parent["debug"], F.lit(False)),
                 "trace_state": state,
                 "span_name": F.lit(SPAN_NAME),
                 "tags": tags,
@@ -110,16 +116,26 @@ def with_span(rows: DataFrame) -> DataFrame:
 
 
 def inject_context(
-    headers: Column, trace_id: Column, span_id: Column, sampled: Column, trace_state: Column
+    headers: Column,
+    trace_id: Column,
+    span_id: Column,
+    sampled: Column,
+    trace_state: Column,
+    debug: Column | None = None,
 ) -> Column:
-    """Write the current span into the headers in all three forms, replacing what was there."""
-    flag = F.when(sampled, F.lit("1")).otherwise(F.lit("0"))
+    """Write the current span into the headers in all three forms, replacing what was there.
+
+    ``debug`` is B3's stronger form of sampled: ``d`` in the single header, a flag of its own among the others.
+    """
+    debug = F.lit(False) if debug is None else debug
+    flag = F.when(sampled | debug, F.lit("1")).otherwise(F.lit("0"))
     values = {
         TRACEPARENT: F.concat(F.lit("00-"), trace_id, F.lit("-"), span_id, F.lit("-0"), flag),
         TRACESTATE: trace_state,
         B3_TRACE_ID: trace_id,
         B3_SPAN_ID: span_id,
         B3_SAMPLED: flag,
-        B3_SINGLE: F.concat_ws("-", trace_id, span_id, flag),
+        B3_FLAGS: F.when(debug, F.lit("1")),
+        B3_SINGLE: F.concat_ws("-", trace_id, span_id, F.when(debug, F.lit("d")).otherwise(flag)),
     }
     return set_headers(headers, values)

@@ -10,6 +10,8 @@ from keyflow.functions.keys import dedup_key, idempotency_header
 from keyflow.functions.text import has_text
 
 NULL_PAYLOAD = "null payload"
+NO_PLACE = "missing topic, partition or offset"
+NO_ARRIVAL = "missing arrival time"
 
 
 def is_null_payload(event: Column) -> Column:
@@ -30,6 +32,16 @@ def is_valid(event: Column) -> Column:
     return invalid_reason(event).isNull()
 
 
+def failure_reason() -> Column:
+    """Why a delivery fails before dedup, or null. Without a place it has no identity, without an arrival no order."""
+    placed = F.col("topic").isNotNull() & F.col("partition").isNotNull() & F.col("offset").isNotNull()
+    return (
+        F.when(~placed, F.lit(NO_PLACE))
+        .when(F.col("arrival_ts").isNull(), F.lit(NO_ARRIVAL))
+        .otherwise(invalid_reason(F.col("event")))
+    )
+
+
 def with_dedup_key(envelopes: DataFrame) -> DataFrame:
     """Add ``dedup_key``; the header is looked up once per row."""
     key = dedup_key(F.col("topic"), F.col("partition"), F.col("offset"), F.col("idempotency_key"))
@@ -41,8 +53,8 @@ def with_idempotency_key(envelopes: DataFrame) -> DataFrame:
 
 
 def failed_rows(envelopes: DataFrame) -> DataFrame:
-    """Null and invalid payloads: they fail before dedup and mark no key."""
-    reason = invalid_reason(F.col("event"))
+    """Null and invalid payloads and records without place or arrival: they fail before dedup and mark no key."""
+    reason = failure_reason()
     return envelopes.filter(reason.isNotNull()).withColumns(
         {
             "outcome": F.lit(S.FAILED),
@@ -53,7 +65,7 @@ def failed_rows(envelopes: DataFrame) -> DataFrame:
 
 
 def valid_rows(envelopes: DataFrame) -> DataFrame:
-    return envelopes.filter(is_valid(F.col("event")))
+    return envelopes.filter(failure_reason().isNull())
 
 
 def marked_outcome(marked: DataFrame) -> DataFrame:

@@ -50,7 +50,12 @@ def outbound_records(
 ) -> DataFrame:
     """Outbound records: topic, key, headers with the trace context, and the event struct."""
     headers = inject_context(
-        no_headers(), F.col("trace_id"), F.col("span_id"), F.col("sampled"), F.col("trace_state")
+        no_headers(),
+        F.col("trace_id"),
+        F.col("span_id"),
+        F.col("sampled"),
+        F.col("trace_state"),
+        F.col("debug"),
     )
     return with_span(processed).select(
         F.lit(topic).alias("topic"),

@@ -10,13 +10,15 @@ from pyspark.sql import functions as F
 
 from keyflow import schemas as S
 from keyflow.operators.classify import needs_retry
-from keyflow.operators.dedup import seen_keys
+from keyflow.operators.dedup import seen_keys, ttl_micros
 from keyflow.operators.flags import FlagSettings
 from keyflow.operators.publish import outbound_records, publishable
 from keyflow.operators.upsert import latest_per_customer
 from keyflow.plans.outcomes import build_outcomes
+from keyflow.session import scratch_run
 from keyflow.sources.tables import (
     SnapshotTable,
+    merge_into,
     read_batch,
     read_batches,
     read_if_present,
@@ -32,6 +34,8 @@ class Target:
 
     The snapshot is rewritten by every merge; with small batches ``merge_every`` lets several batches
     share one. Nothing is lost in between: a merge takes all batches the snapshot does not have yet.
+    With ``customers``, the name of a catalog table that supports MERGE, each batch changes only the
+    documents it has.
     """
 
     path: str
@@ -42,6 +46,7 @@ class Target:
     schema_id: int | None = None
     kafka_options: dict[str, str] | None = None
     merge_every: int = 1
+    customers: str | None = None
 
     def table(self, name: str) -> str:
         return f"{self.path.rstrip('/')}/{name}"
@@ -57,10 +62,10 @@ def remembered_keys(
     log = read_if_present(spark, target.table("outcome_log"), S.OUTCOME)
     if log is None:
         return None
-    oldest = envelopes.agg(F.min("arrival_ts")).first()[0]
+    oldest = envelopes.agg(F.min(F.unix_micros("arrival_ts"))).first()[0]
     earlier = log.filter((F.col("batch_id") < batch_id) & (F.col("outcome") == S.PROCESSED))
     if oldest is not None:
-        alive = F.lit(oldest) - F.expr(f"INTERVAL {target.ttl}")
+        alive = F.timestamp_micros(F.lit(oldest - ttl_micros(target.ttl)))
         earlier = earlier.filter(F.col("arrival_ts") > alive)
     return seen_keys(earlier)
 
@@ -72,7 +77,10 @@ def write_sinks(spark: SparkSession, target: Target, batch_id: int, processed_at
     """
     log = read_batch(spark, target.table("outcome_log"), S.OUTCOME, batch_id)
     write_batch(quarantine_rows(log), target.table("quarantine"), batch_id)
-    if (batch_id + 1) % target.merge_every == 0:
+    if target.customers is not None:
+        processed = log.filter(F.col("outcome") == S.PROCESSED)
+        merge_into(latest_per_customer(processed, processed_at), target.customers)
+    elif (batch_id + 1) % target.merge_every == 0:
         merge_pending(spark, target, batch_id, processed_at)
     records = outbound_records(publishable(log, target.rules, target.settings), processed_at)
     if target.kafka_options is None:
@@ -88,7 +96,7 @@ def merge_pending(
     snapshot = target.snapshot(spark)
     log = read_batches(spark, target.table("outcome_log"), S.OUTCOME)
     pending = log.filter(
-        (F.col("batch_id") > snapshot.current()[0])
+        (F.col("batch_id") > snapshot.current())
         & (F.col("batch_id") <= batch_id)
         & (F.col("outcome") == S.PROCESSED)
     )
@@ -109,7 +117,8 @@ def run_batch(
     spark: SparkSession, envelopes: DataFrame, target: Target, batch_id: int, processed_at: datetime
 ) -> None:
     """Process one batch end to end; running the same batch again leaves the same tables."""
-    seen = remembered_keys(spark, target, batch_id, envelopes)
-    outcomes = build_outcomes(envelopes, target.ttl, seen, batch_id)
-    write_batch(outcomes, target.table("outcome_log"), batch_id)
-    write_sinks(spark, target, batch_id, processed_at)
+    with scratch_run(spark):
+        seen = remembered_keys(spark, target, batch_id, envelopes)
+        outcomes = build_outcomes(envelopes, target.ttl, seen, batch_id)
+        write_batch(outcomes, target.table("outcome_log"), batch_id)
+        write_sinks(spark, target, batch_id, processed_at)

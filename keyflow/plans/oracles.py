@@ -82,6 +82,17 @@ outcomes AS (
   FROM log WHERE failure IS NOT NULL),
 done AS (SELECT * FROM outcomes WHERE outcome = 'PROCESSED')"""
 
+# The log with holes: no topic, or neither arrival nor record time, by offset.
+_HOLES = (
+    _MARKED.replace("SELECT 'customer.ingest.in' AS topic", "SELECT CASE WHEN off % 97 <> 2 THEN 'customer.ingest.in' END AS topic")
+    .replace("epoch_us(arrival) AS arrival_us", "CASE WHEN off % 97 <> 1 THEN epoch_us(arrival) END AS arrival_us")
+    .replace(
+        "CASE WHEN is_null THEN 'null payload'",
+        "CASE WHEN topic IS NULL THEN 'missing topic, partition or offset' "
+        "WHEN arrival_us IS NULL THEN 'missing arrival time' WHEN is_null THEN 'null payload'",
+    )
+)
+
 _LATEST = f"""{_MARKED},
 ranked AS (
   SELECT *, row_number() OVER (PARTITION BY customer_id
@@ -89,7 +100,7 @@ ranked AS (
   FROM done),
 updates AS (
   SELECT customer_id, phone, street, city, state, zip,
-         '2024-02-15T00:00:00.000000Z' AS updated_at, topic AS last_topic,
+         '2024-02-15T00:00:00Z' AS updated_at, topic AS last_topic,
          partition AS last_partition, "offset" AS last_offset, timestamp_us AS last_timestamp_us
   FROM ranked WHERE place_no = 1)"""
 
@@ -99,7 +110,7 @@ old AS (
          '555-' || lpad(CAST((c_custkey * 2) % 10000 AS VARCHAR), 4, '0') AS phone,
          c_name AS street, c_mktsegment AS city, 'TX' AS state,
          lpad(CAST(c_custkey * 2 AS VARCHAR), 5, '0') AS zip,
-         '2023-12-31T00:00:00.000000Z' AS updated_at
+         '2023-12-31T00:00:00Z' AS updated_at
   FROM customer)"""
 
 _MERGED = """
@@ -191,7 +202,7 @@ _JSON = " || ',' || ".join(
         """'"state":"' || state || '"'""",
         """'"zip":"' || zip || '"}'""",
         """'"status":"PROCESSED"'""",
-        """'"processedAt":"2024-02-15T00:00:00.000000Z"'""",
+        """'"processedAt":"2024-02-15T00:00:00Z"'""",
         """'"reason":"PROCESSED"'""",
         """'"inboundTopic":"' || topic || '"'""",
         """'"inboundPartition":' || partition""",
@@ -268,7 +279,7 @@ contexts AS (SELECT *, CASE WHEN regexp_matches(customer_id, '\\S') THEN custome
     ),
     "outbound_processed": _with(
         _SENT,
-        f"SELECT {_EVENT}, 'PROCESSED' AS status, '2024-02-15T00:00:00.000000Z' AS processed_at, "
+        f"SELECT {_EVENT}, 'PROCESSED' AS status, '2024-02-15T00:00:00Z' AS processed_at, "
         "'PROCESSED' AS reason, topic AS inbound_topic, partition AS inbound_partition, "
         '"offset" AS inbound_offset FROM sent',
     ),
@@ -321,6 +332,25 @@ contexts AS (SELECT *, CASE WHEN regexp_matches(customer_id, '\\S') THEN custome
     "batch_snapshot": _with(f"{_LATEST}, {_OLD}", _MERGED.format(insert_old="", insert_new="")),
     "stream_outcomes": _with(_MARKED, _OUTCOME_VIEW),
     "stream_backfill": _with(_MARKED, _OUTCOME_VIEW),
+    "stream_bounded": _with(_MARKED, _OUTCOME_VIEW),
+    "dedup_ttl_heavy": _with(_MARKED, f"SELECT {_PLACE}, dedup_key, accepted, dedup_reason FROM marked"),
+    "unplaced_records": _with(
+        _HOLES,
+        f"SELECT {_PLACE}, coalesce(dedup_key, '') AS dedup_key, outcome, reason, dedup_reason, way "
+        "FROM outcomes CROSS JOIN (VALUES ('fold'), ('walk'), ('log'), ('state')) ways(way)",
+    ),
+    "redelivery_repeat": _with(
+        f"""{_LATEST},
+sent AS (SELECT * FROM done WHERE {_enabled("customer_id")}),
+held AS (
+  SELECT 'outcome_log' AS sink, concat_ws('|', topic, partition, "offset", arrival_us) AS key FROM outcomes
+  UNION ALL
+  SELECT 'quarantine', concat_ws('|', topic, partition, "offset", arrival_us) FROM outcomes WHERE outcome = 'FAILED'
+  UNION ALL SELECT 'outbound', customer_id FROM sent
+  UNION ALL SELECT 'customers', customer_id FROM updates)""",
+        "SELECT sink, key, count(*) AS records, way FROM held "
+        "CROSS JOIN (VALUES ('batch'), ('stream')) ways(way) GROUP BY sink, key, way",
+    ),
     "landed_replay": _with(
         _LOG,
         f"SELECT {_PLACE}, dedup_key, 'FAILED' AS outcome, failure AS reason, "

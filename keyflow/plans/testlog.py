@@ -111,6 +111,19 @@ def landed_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_log(spark, _landed[key])
 
 
+def unplaced_log(log: DataFrame) -> DataFrame:
+    """The log with holes by offset: first deliveries without arrival time, records with neither arrival nor record
+    time, records without topic."""
+    hole = F.col("offset") % 97
+    return log.withColumns(
+        {
+            "arrival_ts": F.when((hole > 1) | (hole == 0) & (F.col("arrival_ts") != F.col("timestamp")), F.col("arrival_ts")),
+            "timestamp": F.when(hole != 1, F.col("timestamp")),
+            "topic": F.when(hole != 2, F.col("topic")),
+        }
+    )
+
+
 def old_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole customer table as documents under every second id, so merges insert and update."""
     customers = spark.read.parquet(f"{sf_dir}/customer.parquet")

@@ -4,10 +4,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import SparkSession
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
+_run: ContextVar[str] = ContextVar("keyflow_run", default="")
 
 
 def use_utc(spark: SparkSession) -> SparkSession:
@@ -35,4 +39,22 @@ def shared_folder(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new path under the shared folder, used for tables that cut lineage."""
-    return f"{shared_folder(spark)}/keyflow/{name}-{uuid.uuid4().hex}"
+    folder = f"{shared_folder(spark)}/keyflow"
+    return f"{folder}/{_run.get()}{name}-{uuid.uuid4().hex}"
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    location = spark._jvm.org.apache.hadoop.fs.Path(path)
+    location.getFileSystem(spark._jsc.hadoopConfiguration()).delete(location, True)
+
+
+@contextmanager
+def scratch_run(spark: SparkSession) -> Iterator[None]:
+    """Scratch tables made inside lie in one folder, which goes at the end: for runs that write all their results."""
+    run = f"run-{uuid.uuid4().hex}/"
+    before = _run.set(run)
+    try:
+        yield
+    finally:
+        _run.reset(before)
+        remove_folder(spark, f"{shared_folder(spark)}/keyflow/{run}")

@@ -40,7 +40,7 @@ def avro_schema(name: str, struct: T.StructType, enums: dict[str, Sequence[str]]
 
 INBOUND_AVRO = avro_schema("Inbound", S.EVENT)
 OUTBOUND_AVRO = avro_schema(
-    "Outbound", S.PROCESSED_EVENT, {"status": ["PROCESSED", "SKIPPED_DUPLICATE", "FAILED"]}
+    "Outbound", S.PROCESSED_EVENT, {"status": list(S.WIRE_STATUS.values())}
 )
 
 
@@ -55,7 +55,12 @@ def decode_json(value: Column) -> Column:
 def decode_avro(value: Column) -> Column:
     framed = (F.substring(value, 1, 1) == F.lit(b"\x00")) & (F.length(value) > WIRE_PREFIX_BYTES)
     body = F.substring(value, WIRE_PREFIX_BYTES + 1, 2**31 - 1)
-    return F.when(framed, from_avro(body, INBOUND_AVRO, {"mode": "PERMISSIVE"}))
+    return F.when(framed, complete(from_avro(body, INBOUND_AVRO, {"mode": "PERMISSIVE"})))
+
+
+def complete(event: Column) -> Column:
+    """Null for an event of nulls: all fields are required, so that is what a body that cannot be read becomes."""
+    return F.when(F.coalesce(*[F.when(event[name].isNotNull(), F.lit(True)) for name in S.EVENT.names]), event)
 
 
 def encode_json(event: Column) -> Column:

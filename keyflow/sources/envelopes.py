@@ -52,10 +52,17 @@ def from_kafka_columns(records: DataFrame, codec: str = "json", arrival: Column
     )
 
 
+def batch_options(options: dict[str, str]) -> dict[str, str]:
+    """Read options of a batch. Its end must be given as offsets: a plan reads the topic more than once, and an
+    open end could be another one each time."""
+    if options.get("endingOffsets", "latest") == "latest":
+        raise ValueError("a batch needs endingOffsets that name offsets")
+    return {k: v for k, v in options.items() if k not in ("maxOffsetsPerTrigger", "kafka.group.id")}
+
+
 def read_kafka(spark: SparkSession, options: dict[str, str], codec: str = "json") -> DataFrame:
     """A topic as a batch; needs the Kafka package."""
-    bounded = {k: v for k, v in options.items() if k not in ("maxOffsetsPerTrigger", "kafka.group.id")}
-    return from_kafka_columns(spark.read.format("kafka").options(**bounded).load(), codec)
+    return from_kafka_columns(spark.read.format("kafka").options(**batch_options(options)).load(), codec)
 
 
 def stream_kafka(spark: SparkSession, options: dict[str, str], codec: str = "json") -> DataFrame:
@@ -64,28 +71,22 @@ def stream_kafka(spark: SparkSession, options: dict[str, str], codec: str = "jso
     return from_kafka_columns(records, codec, F.current_timestamp())
 
 
-def read_log(spark: SparkSession, path: str, default_arrival: bool = False) -> DataFrame:
-    """A landed envelope log as a batch; filters on its columns reach the files.
-
-    ``default_arrival`` takes the record's own time where no arrival time was landed.
-    """
-    return _arrived(spark.read.schema(S.ENVELOPE).parquet(path), default_arrival)
+def read_log(spark: SparkSession, path: str) -> DataFrame:
+    """A landed envelope log as a batch; filters on its columns reach the files."""
+    return _arrived(spark.read.schema(S.ENVELOPE).parquet(path))
 
 
 def stream_log(
-    spark: SparkSession,
-    path: str,
-    max_bytes: int | None = MAX_BYTES_PER_TRIGGER,
-    default_arrival: bool = False,
+    spark: SparkSession, path: str, max_bytes: int = MAX_BYTES_PER_TRIGGER, max_files: int | None = None
 ) -> DataFrame:
     """A landed envelope log as a stream, oldest files first; files must land in arrival order.
 
-    ``max_bytes`` bounds a micro-batch; without it, each one takes all files that are there.
+    ``max_bytes``, or ``max_files`` if given, bounds a micro-batch; there is no stream without a bound.
     """
-    reader = spark.readStream.schema(S.ENVELOPE)
-    if max_bytes is not None:
-        reader = reader.option("maxBytesPerTrigger", str(max_bytes))
-    return _arrived(reader.parquet(path), default_arrival)
+    if max_bytes is None or max_bytes <= 0 or (max_files is not None and max_files <= 0):
+        raise ValueError("a stream needs a bounded intake")
+    bound = ("maxBytesPerTrigger", max_bytes) if max_files is None else ("maxFilesPerTrigger", max_files)
+    return _arrived(spark.readStream.schema(S.ENVELOPE).option(bound[0], str(bound[1])).parquet(path))
 
 
 def read_raw_log(spark: SparkSession, path: str, codec: str = "json") -> DataFrame:
@@ -94,7 +95,6 @@ def read_raw_log(spark: SparkSession, path: str, codec: str = "json") -> DataFra
     return from_kafka_columns(raw, codec, F.coalesce("arrival_ts", "timestamp"))
 
 
-def _arrived(log: DataFrame, default_arrival: bool) -> DataFrame:
-    if not default_arrival:
-        return log
+def _arrived(log: DataFrame) -> DataFrame:
+    """A record that landed without arrival time arrived at its own time."""
     return log.withColumn("arrival_ts", F.coalesce("arrival_ts", "timestamp"))

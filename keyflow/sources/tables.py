@@ -1,4 +1,4 @@
-"""Sinks: batch-keyed tables, the two-slot customer snapshot, outbound records.
+"""Sinks: batch-keyed tables, the versioned customer snapshot, outbound records.
 
 A batch may be run again after a failure, so each table keeps a batch in a folder of its own that a
 repeat overwrites.
@@ -13,10 +13,10 @@ from pyspark.sql import types as T
 
 from keyflow import schemas as S
 from keyflow.operators.upsert import merge_snapshot, merge_statement
+from keyflow.session import remove_folder
 from keyflow.sources.codecs import encode
 
 MISSING = "PATH_NOT_FOUND"
-_MARKER = S.struct(version="bigint")
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
@@ -46,54 +46,57 @@ def read_batches(spark: SparkSession, path: str, schema: T.StructType) -> DataFr
 
 
 def read_batch(spark: SparkSession, path: str, schema: T.StructType, batch_id: int) -> DataFrame:
-    return read_batches(spark, path, schema).filter(F.col("batch_id") == batch_id)
+    """One batch; only its folder is listed."""
+    stored = T.StructType([field for field in schema if field.name != "batch_id"])
+    rows = spark.read.schema(stored).parquet(f"{path}/batch_id={batch_id}")
+    return rows.withColumn("batch_id", F.lit(batch_id).cast("bigint")).select(*schema.names)
 
 
 class SnapshotTable:
-    """Customer snapshot without row-level changes: two slots, written in turn.
+    """Customer snapshot without row-level changes: a folder per version, and a marker written after it.
 
-    The slot not in use is overwritten first, then its marker. Readers take the slot with the highest
-    marker, so they never see a slot that is being written, and a failed write changes nothing.
+    Readers take the version with the highest marker, so they never see one that is being written, and a
+    failed write changes nothing. Older versions stay for readers that began before; all but the
+    newest ``keep`` are removed once the marker of a new one is there.
     """
 
-    def __init__(self, spark: SparkSession, path: str):
+    def __init__(self, spark: SparkSession, path: str, keep: int = 3):
         self.spark = spark
         self.path = path.rstrip("/")
+        self.keep = keep
 
-    def _slot_version(self, slot: int) -> int:
-        marker = read_if_present(self.spark, f"{self.path}/marker={slot}", _MARKER)
-        row = None if marker is None else marker.first()
-        return -1 if row is None else row["version"]
+    def versions(self) -> list[int]:
+        """Complete versions, oldest first."""
+        location = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/marker=*")
+        found = location.getFileSystem(self.spark._jsc.hadoopConfiguration()).globStatus(location)
+        return sorted(int(status.getPath().getName().partition("=")[2]) for status in found or [])
 
-    def current(self) -> tuple[int, int]:
-        """(version, slot) in use; (-1, 1) before the first write."""
-        versions = [self._slot_version(0), self._slot_version(1)]
-        version = max(versions)
-        return (version, versions.index(version)) if version >= 0 else (-1, 1)
+    def current(self) -> int:
+        """The version in use; -1 before the first write."""
+        return max(self.versions(), default=-1)
 
     def read(self) -> DataFrame:
-        return self._read_slot(*self.current())
-
-    def _read_slot(self, version: int, slot: int) -> DataFrame:
+        version = self.current()
         if version < 0:
             return self.spark.createDataFrame([], S.CUSTOMER)
-        return self.spark.read.schema(S.CUSTOMER).parquet(f"{self.path}/slot={slot}")
+        return self.spark.read.schema(S.CUSTOMER).parquet(self.folder(version))
 
-    def _write_slot(self, snapshot: DataFrame, version: int, slot: int) -> None:
-        snapshot.select(*S.CUSTOMER.names).write.mode("overwrite").parquet(f"{self.path}/slot={slot}")
-        marker = self.spark.createDataFrame([(version,)], _MARKER).coalesce(1)
-        marker.write.mode("overwrite").parquet(f"{self.path}/marker={slot}")
+    def folder(self, version: int) -> str:
+        return f"{self.path}/version={version}"
 
     def replace(self, snapshot: DataFrame, version: int) -> None:
-        self._write_slot(snapshot, version, 1 - self.current()[1])
+        snapshot.select(*S.CUSTOMER.names).write.mode("overwrite").parquet(self.folder(version))
+        place = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/marker={version}")
+        place.getFileSystem(self.spark._jsc.hadoopConfiguration()).create(place, True).close()
+        for old in self.versions()[: -self.keep]:
+            remove_folder(self.spark, f"{self.path}/marker={old}")
+            remove_folder(self.spark, self.folder(old))
 
     def merge(self, updates: DataFrame, version: int) -> bool:
         """Merge one document per customer as ``version``; False if that version is already in."""
-        stored, slot = self.current()
-        if version <= stored:
+        if version <= self.current():
             return False
-        merged = merge_snapshot(self._read_slot(stored, slot), updates)
-        self._write_slot(merged, version, 1 - slot)
+        self.replace(merge_snapshot(self.read(), updates), version)
         return True
 
 

@@ -21,12 +21,9 @@ STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreP
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
-def output_schema(rows: DataFrame) -> T.StructType:
-    added = [
-        T.StructField("accepted", T.BooleanType()),
-        T.StructField("dedup_reason", T.StringType()),
-    ]
-    return T.StructType([*rows.schema.fields, *added])
+PAYLOAD = "_payload"
+NARROW = S.struct(dedup_key="string", _us="bigint", partition="int", offset="bigint", topic="string", _payload="string")
+MARKED = T.StructType([*NARROW.fields, *S.struct(accepted="boolean", dedup_reason="string").fields])
 
 
 def _order(row: Row) -> tuple:
@@ -37,7 +34,8 @@ class TtlDedup(StatefulProcessor):
     """Remembers the last accepted delivery of a key and marks every row against it.
 
     Rows of a key come unordered within a micro-batch, so they are sorted here; the source's intake
-    limit bounds how many there can be.
+    limit bounds how many there can be. With cleanup, a key is forgotten by the clock after two
+    TTLs without an accepted row; a stream that lags by more than one TTL may then accept a duplicate.
     """
 
     def __init__(self, columns: list[str], ttl_us: int, cleanup: bool):
@@ -76,15 +74,24 @@ def stream_ttl_dedup(rows: DataFrame, ttl: str = S.DEDUP_TTL, always_on: bool =
     ``always_on`` adds processing-time cleanup of old state. Replays leave it off: a store that
     watches the clock keeps a finite run from ending.
     """
-    placed = rows.withColumn("_us", F.unix_micros("arrival_ts"))
-    schema = output_schema(placed)
-    marked = placed.groupBy("dedup_key").transformWithState(
-        statefulProcessor=TtlDedup(schema.names, ttl_micros(ttl), always_on),
-        outputStructType=schema,
+    carried = [name for name in rows.columns if name not in ("dedup_key", "partition", "offset", "topic")]
+    payload = rows.select(*carried).schema
+    times = [field.name for field in payload if isinstance(field.dataType, T.TimestampType)]
+    exact = [F.unix_micros(name).alias(name) if name in times else F.col(name) for name in carried]
+    packed = T.StructType([T.StructField(f.name, T.LongType() if f.name in times else f.dataType) for f in payload])
+    narrow = rows.withColumns({"_us": F.unix_micros("arrival_ts"), PAYLOAD: F.to_json(F.struct(*exact))})
+    marked = narrow.select(*NARROW.names).groupBy("dedup_key").transformWithState(
+        statefulProcessor=TtlDedup(MARKED.names, ttl_micros(ttl), always_on),
+        outputStructType=MARKED,
         outputMode="Append",
         timeMode="ProcessingTime" if always_on else "None",
     )
-    return marked.drop("_us")
+    unpacked = marked.withColumn(PAYLOAD, F.from_json(PAYLOAD, packed))
+    values = [
+        (F.timestamp_micros(f"{PAYLOAD}.{name}") if name in times else F.col(f"{PAYLOAD}.{name}")).alias(name) for name in carried
+    ]
+    own = [name for name in rows.columns if name not in carried]
+    return unpacked.select(*own, *values, "accepted", "dedup_reason").select(*rows.columns, "accepted", "dedup_reason")
 
 
 def stream_first_wins(rows: DataFrame, delay: str = S.DEDUP_TTL) -> DataFrame:

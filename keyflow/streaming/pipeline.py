@@ -12,6 +12,7 @@ from keyflow import schemas as S
 from keyflow.operators.classify import failed_rows, marked_outcome, valid_rows, with_dedup_key
 from keyflow.plans.batch import Target, merge_pending, run_batch, write_sinks
 from keyflow.plans.outcomes import outcome_columns
+from keyflow.session import scratch_run
 from keyflow.sources.tables import read_if_present, write_batch
 from keyflow.streaming.dedup_state import stream_ttl_dedup, use_state_store
 
@@ -34,15 +35,15 @@ def start_stream(
     target: Target,
     processed_at: datetime | str | None = None,
     always_on: bool = False,
-    memory: str = "state",
+    memory: str = "log",
     interval: str = "10 seconds",
 ) -> StreamingQuery:
     """Start the pipeline, for good or until what is there is done; each micro-batch lands in the outcome log first, then in the other sinks.
 
-    ``memory`` says where accepted keys are remembered. ``state`` is the keyed state store: cheap for
-    small, frequent micro-batches, whose intake limit bounds a hot key. ``log`` runs each micro-batch
-    as a batch that reads the accepted keys of the last TTL back from the outcome log: all built-in
-    expressions and safe for any hot key, so it suits large micro-batches and backfills.
+    ``memory`` says where accepted keys are remembered. ``log`` runs each micro-batch as a batch that reads
+    the accepted keys of the last TTL back from the outcome log: all built-in expressions and safe for
+    any hot key. ``state`` is the keyed state store: its work depends on the micro-batch alone, but
+    its handler is Python, and the intake limit bounds a hot key.
 
     A repeated micro-batch overwrites its own folders, so restarts write nothing twice. Without
     ``processed_at`` the time is taken once per micro-batch.
@@ -57,7 +58,8 @@ def start_stream(
             run_batch(session, batch, target, batch_id, when)
         else:
             write_batch(batch, target.table("outcome_log"), batch_id)
-            write_sinks(session, target, batch_id, when)
+            with scratch_run(session):
+                write_sinks(session, target, batch_id, when)
 
     rows = envelopes
     if memory == "state":
@@ -78,7 +80,7 @@ def run_stream(
     envelopes: DataFrame,
     target: Target,
     processed_at: datetime | str | None = None,
-    memory: str = "state",
+    memory: str = "log",
     timeout: int | None = None,
 ) -> None:
     """Drain what has landed so far, bring the snapshot up to date, and stop."""

@@ -87,19 +87,44 @@ def test_avro_needs_a_schema_id():
         codecs.encode(None, "avro")
 
 
-def test_log_with_and_without_arrival_default(spark, tmp_path):
+def test_arrival_defaults_to_the_time_of_the_record(spark, tmp_path):
     path = str(tmp_path / "log")
     rows = log_of(spark, [envelope(at=1, arrival=2)])
     rows.withColumn("arrival_ts", F.lit(None).cast("timestamp")).write.parquet(path)
-    assert envelopes.read_log(spark, path).first().arrival_ts is None
-    row = envelopes.read_log(spark, path, default_arrival=True).first()
+    row = envelopes.read_log(spark, path).first()
     assert row.arrival_ts == row.timestamp
 
 
 def test_filters_and_columns_reach_the_log_files(spark, tmp_path):
     path = str(tmp_path / "log")
     log_of(spark, [envelope()]).write.parquet(path)
-    rows = envelopes.read_log(spark, path).filter(F.col("arrival_ts") > "2024-01-05").select("offset")
+    rows = envelopes.read_log(spark, path).filter(F.col("partition") > 5).select("offset")
     plan = rows._jdf.queryExecution().executedPlan().toString()
-    assert "GreaterThan(arrival_ts" in plan
-    assert "ReadSchema: struct<offset:bigint,arrival_ts:timestamp>" in plan
+    assert "GreaterThan(partition" in plan
+    assert "ReadSchema: struct<partition:int,offset:bigint>" in plan
+
+
+def test_streams_are_bounded(spark, tmp_path):
+    for bound in ({"max_bytes": None}, {"max_bytes": 0}, {"max_files": 0}):
+        with pytest.raises(ValueError):
+            envelopes.stream_log(spark, str(tmp_path), **bound)
+
+
+def test_a_topic_as_a_batch_needs_its_end():
+    options = envelopes.kafka_read_options("broker:9092", group="g")
+    for end in ({}, {"endingOffsets": "latest"}):
+        with pytest.raises(ValueError):
+            envelopes.batch_options({**options, **end})
+    end = '{"customer.ingest.in":{"0":5}}'
+    bounded = envelopes.batch_options({**options, "endingOffsets": end})
+    assert bounded["endingOffsets"] == end
+    assert "maxOffsetsPerTrigger" not in bounded and "kafka.group.id" not in bounded
+
+
+def test_a_body_that_cannot_be_read_is_a_null_event(spark):
+    address = "struct<street: string, city: string, state: string, zip: string>"
+    rows = spark.createDataFrame(
+        [((None, None, None),), (("a", None, None),)], f"e struct<customerId: string, phoneNumber: string, address: {address}>"
+    )
+    got = rows.select(codecs.complete(F.col("e")).alias("e")).collect()
+    assert got[0].e is None and got[1].e.customerId == "a"

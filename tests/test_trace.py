@@ -49,6 +49,27 @@ def test_extract(spark, headers, want):
     assert context(spark, headers) == want
 
 
+@pytest.mark.parametrize(
+    "headers, debug",
+    [
+        ([header("b3", f"{TRACE}-{SPAN}-d")], True),
+        ([header("b3", f"{TRACE}-{SPAN}-1")], False),
+        ([header("X-B3-TraceId", TRACE), header("X-B3-SpanId", SPAN), header("X-B3-Flags", "1")], True),
+        ([header("X-B3-TraceId", TRACE), header("X-B3-SpanId", SPAN), header("X-B3-Sampled", "1")], False),
+        ([W3C], False),
+    ],
+)
+def test_debug_goes_on(spark, headers, debug):
+    span = trace.with_span(log_of(spark, [envelope(headers=headers)]))
+    names = ("trace_id", "span_id", "sampled", "trace_state", "debug")
+    sent = span.withColumn("sent", trace.inject_context(F.col("headers"), *map(F.col, names)))
+    values = [last_header(F.col("sent"), name).alias(name) for name in ("b3", "X-B3-Flags", "X-B3-Sampled")]
+    row = sent.select("sampled", *values).first()
+    assert row.sampled is True and row["X-B3-Sampled"] == "1"
+    assert row["X-B3-Flags"] == ("1" if debug else None)
+    assert row["b3"].endswith("-d" if debug else "-1")
+
+
 def test_child_span_keeps_trace_and_tags(spark):
     rows = [envelope(offset=5, headers=[W3C]), envelope(offset=6), envelope(offset=7)]
     spans = {r.offset: r for r in trace.with_span(log_of(spark, rows)).collect()}
