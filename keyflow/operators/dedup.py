@@ -147,8 +147,9 @@ def _walk_blocks(
 
     Two accepted rows of a key are at least one TTL apart, so a block holds at most one, and only
     the block before can forbid a row. Each block is thus a filter against a broadcast of at most
-    one row per heavy key, then a minimum per key that combines map-side: no hot row is shuffled,
-    and every row is read once per use. Rows are staged by block, the accepted ones written per block.
+    one row per heavy key, then a minimum per key that combines map-side: no hot row is shuffled to
+    find them. Rows are staged by block, the accepted ones written per block; one join on key and
+    block then marks all rows.
     """
     spark = rows.sparkSession
     folder = scratch_path(spark, "ttl-walk")
@@ -173,33 +174,25 @@ def _walk_blocks(
     staged = spark.read.parquet(f"{folder}/rows").withColumn("_block", F.col("_block").cast("bigint"))
     # one number per TTL length in the data
     blocks = [row[0] for row in staged.select("_block").distinct().orderBy("_block").collect()]
-    parts, before, before_block = [], None, None
+    seed_us, before_block = F.col("_seed.us"), None
     for block in blocks:
-        here = staged.filter(F.col("_block") == block).drop("_block")
-        if before is not None and before_block == block - 1:
-            state = before.select(KEY, F.col("_cur").alias("_prev"))
-            here = here.join(F.broadcast(state), KEY, "left")
-        else:
-            here = here.withColumn("_prev", F.lit(None).cast(f"struct<place: {PLACE_TYPE}, copy: bigint>"))
-        since = F.coalesce(F.col("_prev.place.us"), F.col("_seed.us"))
+        here = staged.filter(F.col("_block") == block)
+        since = seed_us
+        if before_block == block - 1:
+            state = spark.read.parquet(f"{folder}/accepted/_block={before_block}")
+            here = here.join(F.broadcast(state.select(KEY, F.col("_cur.place.us").alias("_prev_us"))), KEY, "left")
+            since = F.coalesce("_prev_us", seed_us)
         free = since.isNull() | (F.col("_place.us") - since >= micros)
         first = F.min(F.struct(F.col("_place").alias("place"), F.col("_copy").alias("copy")))
-        path = f"{folder}/accepted/{block}"
-        here.filter(free).groupBy(KEY).agg(first.alias("_cur")).write.parquet(path)
-        before, before_block = spark.read.parquet(path), block
-        taken = before.select(
-            KEY, F.col("_cur.place").alias("_cur"), F.col("_cur.copy").alias("_cur_copy")
-        )
-        marked = here.join(F.broadcast(taken), KEY, "left")
-        last = F.when(F.col("_cur") <= F.col("_place"), F.col("_cur")).otherwise(
-            F.coalesce(F.col("_prev.place"), F.col("_seed"))
-        )
-        marked = _mark(marked, F.col("_cur_copy") == F.col("_copy"), last)
-        parts.append(marked.drop("_cur", "_cur_copy", "_prev", "_seed", "_copy", "_place"))
-    result = parts[0]
-    for part in parts[1:]:
-        result = result.unionByName(part)
-    return result
+        here.filter(free).groupBy(KEY).agg(first.alias("_cur")).write.parquet(f"{folder}/accepted/_block={block}")
+        before_block = block
+    accepted = spark.read.parquet(f"{folder}/accepted").withColumn("_block", F.col("_block").cast("bigint"))
+    taken = accepted.select(KEY, "_block", F.col("_cur.place").alias("_cur"), F.col("_cur.copy").alias("_cur_copy"))
+    earlier = accepted.select(KEY, (F.col("_block") + 1).alias("_block"), F.col("_cur.place").alias("_prev"))
+    marked = staged.join(taken, [KEY, "_block"], "left").join(earlier, [KEY, "_block"], "left")
+    last = F.when(F.col("_cur") <= F.col("_place"), F.col("_cur")).otherwise(F.coalesce("_prev", "_seed"))
+    marked = _mark(marked, F.col("_cur_copy") == F.col("_copy"), last)
+    return marked.select(*rows.columns, "accepted", "dedup_reason")
 
 
 def first_wins(rows: DataFrame) -> DataFrame:

@@ -104,8 +104,22 @@ def customer_flag(rows: DataFrame, rules: DataFrame, flag: str, default: bool, *
 
 
 def application_flag(
-    rows: DataFrame, rules: DataFrame, flag: str, default: bool, application: str, **options
+    rows: DataFrame,
+    rules: DataFrame,
+    flag: str,
+    default: bool,
+    application: str,
+    settings: FlagSettings | None = None,
+    name: str = "flag_enabled",
 ) -> DataFrame:
-    """Flag for the whole application: the same value on every row."""
-    context = F.lit(application)
-    return with_flag(rows, rules, flag, default, context, S.APPLICATION_CONTEXT, **options)
+    """Flag for the whole application: the same value on every row, so a literal and no join."""
+    value = F.lit(default)
+    if settings is None or not settings.effective_offline():
+        key = F.col("context_key")
+        merged = _rules(rules, flag, S.APPLICATION_CONTEXT).filter(key.isNull() | (key == application))
+        # one row for the application and one for all at most
+        found = merged.agg(*(F.max(F.when(which, F.col("_rule"))) for which in (key == application, key.isNull()))).first()
+        rule = found[0] or found[1]
+        if rule is not None:
+            value = _value(F.lit(rule["enabled"]), F.lit(rule["rollout_bp"]), rollout_bucket(flag, F.lit(application)))
+    return rows.withColumn(name, F.coalesce(value, F.lit(default)))

@@ -93,6 +93,3 @@ FLAG_RULES = struct(
     enabled="boolean",
     rollout_bp="int",
 )
-SEEN_KEYS = struct(
-    dedup_key="string", arrival_ts="timestamp", partition="int", offset="bigint", topic="string"
-)
