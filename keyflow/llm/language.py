@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import bisect
 import re
+import uuid
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -24,7 +25,7 @@ from keyflow.llm.common import Memo, small_batches
 UNDETERMINED = "und"
 LETTERS = re.compile(r"[^\W\d_]+")
 #: Documents per language that the model is fitted on, about; chosen by a hash of the id.
-SAMPLE_DOCS = 1500
+SAMPLE_DOCS = 600
 #: Bounds of the model: n-grams kept, most frequent first, and languages, most documents first.
 FEATURES = 60_000
 LANGUAGES = 200
@@ -45,6 +46,7 @@ SCRIPTS: list[tuple[int, str | None]] = [
     (0xFB1D, "Hebrew"), (0xFB50, "Arabic"), (0xFE00, None), (0xFE70, "Arabic"), (0xFF00, None), (0x20000, "Han"), (0x32000, None),
 ]
 STARTS = [start for start, _ in SCRIPTS]
+FIRST_NOT_LATIN = chr(SCRIPTS[1][0])
 
 
 def script_of(char: str) -> str | None:
@@ -53,7 +55,7 @@ def script_of(char: str) -> str | None:
 
 def script_of_word(word: str) -> str | None:
     """The script of most letters, of the first letter in a tie."""
-    if word.isascii():
+    if max(word) < FIRST_NOT_LATIN:
         return "Latin"
     return Counter(map(script_of, word)).most_common(1)[0][0]
 
@@ -71,27 +73,43 @@ class Model:
     places: dict[str, int]
     scores: np.ndarray
     scripts: dict[str | None, list[int]]
+    name: str
 
     def word_row(self, word: str) -> bytes:
         """Packed: a score for each language, the best at 0, and the number of letters."""
         word = word.lower()
-        letters = sum(map(str.isalpha, word))
+        letters = len(word) if word.isalpha() else sum(map(str.isalpha, word))
         row = np.zeros(len(self.languages) + 1, np.float32)
         if letters and (candidates := self.scripts.get(script_of_word(word), [])):
             place = self.places.get
             rows = [x for x in map(place, grams(word)) if x is not None]
+            scores = row[:-1]
             if rows:
-                total = self.scores[rows].sum(axis=0) * (letters / (3 * letters + 2))
-                best = total[candidates].max()
-                row[:-1] = np.minimum(total - best, 0)
+                scores += np.add.reduce(self.scores.take(rows, axis=0))
+                scores *= letters / (3 * letters + 2)
             if len(candidates) < len(self.languages):
+                scores -= scores[candidates].max()
+                np.minimum(scores, 0, out=scores)
                 foreign = np.ones(len(self.languages), bool)
                 foreign[candidates] = False
-                row[:-1][foreign] = row[:-1].min() - FOREIGN
+                scores[foreign] = scores.min() - FOREIGN
+            else:
+                scores -= scores.max()
         row[-1] = letters
         return row.tobytes()
 
 
+#: The rows of words under the model that a worker used last.
+_rows: dict[str, Memo] = {}
+
+
+def rows_of(model: Model) -> Memo:
+    if model.name not in _rows:
+        _rows.clear()
+        _rows[model.name] = Memo(model.word_row)
+    return _rows[model.name]
+
+
 def best_path(scores: np.ndarray, penalty: float = SWITCH_PENALTY) -> np.ndarray:
     """Labels of the words on the best path; ``scores``: words by languages. Ties go to the language that comes first,
     and to staying."""
@@ -101,17 +119,19 @@ def best_path(scores: np.ndarray, penalty: float = SWITCH_PENALTY) -> np.ndarray
     gain = np.vstack([np.zeros(scores.shape[1]), gain])
     if (gain - np.minimum.accumulate(gain, axis=0)).max() <= penalty:
         return np.full(len(scores), main, np.int32)
-    score, back = scores[0].astype(np.float64), np.empty(scores.shape, np.int32)
-    stay = np.arange(scores.shape[1])
-    for at in range(1, len(scores)):
-        top = int(score.argmax())
-        switch = score[top] - penalty > score
-        back[at] = np.where(switch, top, stay)
-        score = np.where(switch, score[top] - penalty, score) + scores[at]
+    score, tops, switched = scores[0].tolist(), [0], [()]
+    for row in scores[1:].tolist():
+        top = score.index(max(score))
+        reached = score[top] - penalty
+        tops.append(top)
+        switched.append([x < reached for x in score])
+        score = [(reached if x < reached else x) + y for x, y in zip(score, row, strict=True)]
     labels = np.empty(len(scores), np.int32)
-    labels[-1] = int(score.argmax())
-    for at in range(len(scores) - 1, 0, -1):
-        labels[at - 1] = back[at, labels[at]]
+    label = score.index(max(score))
+    for at in range(len(scores) - 1, -1, -1):
+        labels[at] = label
+        if at and switched[at][label]:
+            label = tops[at]
     return labels
 
 
@@ -130,20 +150,24 @@ def fit(docs: DataFrame, labelled: Column, sample_docs: int = SAMPLE_DOCS, featu
     kept = rows.where(wanted).select("lang", "text")
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found: Counter = Counter()
+        words: dict[str, Counter] = {}
+        size = 0
         for batch in batches:
             for lang, text in zip(batch["lang"].to_pylist(), batch["text"].to_pylist(), strict=True):
-                words = Counter(map(str.lower, LETTERS.findall(text)))
-                for word, n in words.items():
-                    for gram in grams(word):
-                        found["g", lang, gram] += n
-                    found["s", lang, script_of_word(word) or ""] += n * len(word)
-            if len(found) > 500_000:
-                yield packed(found)
-                found.clear()
-        yield packed(found)
-
-    def packed(found: Counter) -> pa.RecordBatch:
+                words.setdefault(lang, Counter()).update(map(str.lower, LETTERS.findall(text)))
+            size += batch.num_rows
+            if size >= 2000:
+                yield packed(words)
+                words, size = {}, 0
+        yield packed(words)
+
+    def packed(words: dict[str, Counter]) -> pa.RecordBatch:
+        found: Counter = Counter()
+        for lang, counts in words.items():
+            for word, n in counts.items():
+                for gram in grams(word):
+                    found["g", lang, gram] += n
+                found["s", lang, script_of_word(word) or ""] += n * len(word)
         kinds, langs, texts = zip(*found, strict=True) if found else ((), (), ())
         values = [pa.array(x, pa.string()) for x in (kinds, langs, texts)] + [pa.array(found.values(), pa.int64())]
         return pa.RecordBatch.from_arrays(values, ["kind", "lang", "gram", "n"])
@@ -158,7 +182,8 @@ def fit(docs: DataFrame, labelled: Column, sample_docs: int = SAMPLE_DOCS, featu
     letters = {row["gram"] or None: [row["by"].get(lang, 0) for lang in names] for row in found if row["kind"] == "s"}
     of_language = np.array([*letters.values()], np.float64).sum(axis=0) if letters else np.zeros(len(names))
     scripts = {script: [i for i, n in enumerate(row) if n and n >= SCRIPT_SHARE * of_language[i]] for script, row in letters.items()}
-    return Model(names, {row["gram"]: i for i, row in enumerate(kept_grams)}, np.log((matrix + SMOOTHING) / totals).astype(np.float32), scripts)
+    places = {row["gram"]: i for i, row in enumerate(kept_grams)}
+    return Model(names, places, np.log((matrix + SMOOTHING) / totals).astype(np.float32), scripts, uuid.uuid4().hex)
 
 
 def spans_of(text: str, labels: np.ndarray, names: list[str]) -> list[dict]:
@@ -204,7 +229,7 @@ def predict(docs: DataFrame, model: Model, penalty: float = SWITCH_PENALTY) -> D
         return names[first], float(share[first] / total), spans_of(text, labels, names)
 
     def labelled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = Memo(model.word_row)
+        rows = rows_of(model)
         for batch in batches:
             found = [label(text, rows) for text in batch["text"].to_pylist()]
             new = [pa.array([x[0] for x in found], pa.string()), pa.array([x[1] for x in found], pa.float64()), pa.array([x[2] for x in found], SPANS)]
