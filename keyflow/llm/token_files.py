@@ -29,8 +29,9 @@ CALL_CHARS = 60_000
 
 
 class Pieces:
-    """Ids of the parts of a text between spaces. A space never joins two tokens of a vocabulary that drops white
-    space, so the ids of a text are those of its parts, and frequent parts are encoded once."""
+    """Ids of the parts of a text between spaces and line ends. These never join two tokens of a vocabulary that drops
+    white space, so the ids of a text are those of its parts, and frequent parts are encoded once. A part's ids are
+    also those of its lower case, and a full stop or comma after a letter is a token of its own."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -39,39 +40,67 @@ class Pieces:
         self.tokenizer.no_padding()
         self.tokenizer.no_truncation()
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+        self.marks = {mark: np.array(self.tokenizer.encode(mark, add_special_tokens=False).ids, "<i4").tobytes() for mark in ".,"}
+
+    @staticmethod
+    def reduced(part: str) -> tuple[str, str]:
+        """A part with the same ids but for the mark that goes with it. Names of special tokens are left alone."""
+        if not part.isascii() or "<" in part:
+            return part, ""
+        if part[-1:] in {".", ","} and part[-2:-1].isalpha():
+            return part[:-1].lower(), part[-1]
+        return part.lower(), ""
 
     def learn(self, parts: set[str]) -> None:
-        if len(self.known) + len(parts) > CACHE_ENTRIES:
-            self.known.clear()
+        """Makes the ids of all parts known."""
+        if len(self.known) > CACHE_ENTRIES // 2:
+            self.older, self.known = self.known, {}
+        missing: dict[str, list[tuple[str, str]]] = {}
+        known, older = self.known, self.older.get
+        for part in parts.difference(known):
+            ids = older(part)
+            if ids is not None:
+                known[part] = ids
+                continue
+            base, mark = self.reduced(part)
+            ids = known.get(base) or older(base)
+            if ids is None:
+                missing.setdefault(base, []).append((part, mark))
+            else:
+                known[part] = ids + self.marks[mark] if mark else ids
         line: list[str] = []
         size = 0
-        for part in parts - self.known.keys():
-            line.append(part)
-            size += len(part) + 1
+        for base in missing:
+            line.append(base)
+            size += len(base) + 1
             if size > CALL_CHARS:
-                self.encode_line(line)
+                self.encode_line(line, missing)
                 line, size = [], 0
         if line:
-            self.encode_line(line)
-
-    def encode_line(self, parts: list[str]) -> None:
-        found = self.tokenizer.encode(" ".join(parts), add_special_tokens=False)
-        ids = np.array(found.ids, "<i4")
-        begins = np.fromiter((x[0] for x in found.offsets), np.int64, len(ids))
-        starts = np.zeros(len(parts) + 1, np.int64)
-        np.cumsum([len(part) + 1 for part in parts], out=starts[1:])
-        cuts = np.searchsorted(begins, starts)
-        for part, a, b in zip(parts, cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
-            self.known[part] = ids[a:b].tobytes()
+            self.encode_line(line, missing)
+
+    def encode_line(self, bases: list[str], wanted: dict[str, list[tuple[str, str]]]) -> None:
+        encoding = self.tokenizer.encode(" ".join(bases), add_special_tokens=False)
+        ids = np.array(encoding.ids, "<i4")
+        begins = np.fromiter((x[0] for x in encoding.offsets), np.int64, len(ids))
+        starts = np.zeros(len(bases) + 1, np.int64)
+        np.cumsum([len(base) + 1 for base in bases], out=starts[1:])
+        cuts = (4 * np.searchsorted(begins, starts)).tolist()
+        packed, known = ids.tobytes(), self.known
+        for base, a, b in zip(bases, cuts[:-1], cuts[1:], strict=True):
+            own = known[base] = packed[a:b]
+            for part, mark in wanted[base]:
+                known[part] = own + self.marks[mark] if mark else own
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
-        split = [text.split(" ") if text else [] for text in texts]
-        missing: set[str] = set()
-        for parts in split:
-            missing.update(parts)
-        self.learn(missing)
+        split = [text.replace("\n", " ").split(" ") if text else [] for text in texts]
+        parts: set[str] = set()
+        for words in split:
+            parts.update(words)
+        self.learn(parts)
         known = self.known.__getitem__
-        return [b"".join(map(known, parts)) for parts in split]
+        return [b"".join(map(known, words)) for words in split]
 
 
 @lru_cache(2)
