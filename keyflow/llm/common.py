@@ -15,8 +15,9 @@ WORD = re.compile(r"[^\x20\x09-\x0D]+")
 ASCII_LOWER = {upper: upper + 32 for upper in range(65, 91)}
 #: Records handed to Python at once; a batch is text in memory, so it stays small.
 BATCH_RECORDS = 512
-CACHE_ENTRIES = 800_000
-MASK64 = (1 << 64) - 1
+CACHE_ENTRIES = 1_000_000
+#: Bits of a map that keeps most rows out of a join; 1 MB.
+FILTER_BITS = 1 << 23
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -58,6 +59,60 @@ def list_array(parts: list[bytes], dtype: str = "<i4") -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(parts), dtype)))
 
 
+def slots(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Two bits of a bit map for each 64-bit hash."""
+    size = np.uint64(FILTER_BITS)
+    return hashes % size, (hashes >> np.uint64(24)) % size
+
+
+def bit_map(hashes: DataFrame) -> bytes:
+    """A map of the hashes in column ``hash``, of a fixed size whatever their number. Words of 32 bits are combined in
+    tasks, so at most one row for each word comes to the driver."""
+
+    def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            both = np.concatenate(slots(batch["hash"].to_numpy(zero_copy_only=False).view(np.uint64)))
+            values = np.int64(1) << (both % np.uint64(32)).astype(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array((both // np.uint64(32)).astype(np.int32)), pa.array(values)], ["word", "bits"])
+
+    words = hashes.select("hash").mapInArrow(placed, "word int, bits long").groupBy("word").agg(F.expr("bit_or(bits)").alias("bits"))
+    out = np.zeros(FILTER_BITS // 32, np.uint32)
+    for row in words.collect():
+        out[row["word"]] = row["bits"]
+    return out.astype("<u4").tobytes()
+
+
+def unpacked(bits: bytes) -> np.ndarray:
+    return np.unpackbits(np.frombuffer(bits, np.uint8), bitorder="little").astype(bool)
+
+
+def mapped(known: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """Rows whose hash may be in the map; all that are in it are found."""
+    first, second = slots(hashes)
+    at = np.flatnonzero(known[first])
+    return at[known[second[at]]]
+
+
+def texts_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """The rows ``doc_id, text`` of ``docs`` whose id is in column ``doc_id`` of ``ids``.
+
+    A bit map of the ids keeps most other texts out of the shuffle; more ids than it can tell apart only let
+    more texts through to the join.
+    """
+    small_batches(docs.sparkSession)
+    ids = ids.select("doc_id").distinct()
+    bits = bit_map(ids.select(F.xxhash64("doc_id").alias("hash")))
+
+    def chosen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = unpacked(bits)
+        for batch in batches:
+            at = mapped(known, batch["hash"].to_numpy(zero_copy_only=False).view(np.uint64))
+            yield batch.select(["doc_id", "text"]).take(pa.array(at, pa.int64()))
+
+    rows = docs.where("doc_id IS NOT NULL").select("doc_id", "text", F.xxhash64("doc_id").alias("hash"))
+    return rows.mapInArrow(chosen, "doc_id long, text string").join(ids, "doc_id", "left_semi")
+
+
 def runs(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Table]:
     """Tables of neighbouring rows with the same number in ``key``; the rows come sorted by it."""
     held: list[pa.RecordBatch] = []

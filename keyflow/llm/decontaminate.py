@@ -18,7 +18,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from keyflow.llm.common import Memo, identified, small_batches
+from keyflow.llm.common import Memo, bit_map, identified, mapped, small_batches, texts_of, unpacked
+from keyflow.llm.components import written
 
 TOKEN = re.compile(r"\w+")
 #: Fixed masks: which words of a run count.
@@ -26,8 +27,6 @@ MASKS = ("111011011", "110110111", "111100111", "101111101")
 #: Words that must be compared and the share of them that must agree; an item with fewer words is compared whole.
 OVERLAP_WORDS = 13
 OVERLAP_SHARE = 0.8
-#: Bits of the map of benchmark seeds; 1 MB.
-FILTER_BITS = 1 << 23
 
 
 def tokens(text: str | None) -> list[str]:
@@ -53,18 +52,12 @@ def seeds(words: np.ndarray, masks: tuple[str, ...] = MASKS) -> list[np.ndarray]
     return out
 
 
-def slots(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Two bits of the map for each seed."""
-    size = np.uint64(FILTER_BITS)
-    return hashes % size, (hashes >> np.uint64(24)) % size
-
-
 def seed_table(texts: DataFrame, key: str, masks: tuple[str, ...], bits: bytes | None = None) -> DataFrame:
     """``seed, key, at`` of all runs; with ``bits`` only of those whose seed the map has."""
 
     def seeded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hash_of = Memo(xxhash.xxh64_intdigest)
-        known = np.unpackbits(np.frombuffer(bits, np.uint8), bitorder="little").astype(bool) if bits else None
+        known = unpacked(bits) if bits else None
         for batch in batches:
             found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
             for number, text in zip(batch["key"].to_pylist(), batch["text"].to_pylist(), strict=True):
@@ -73,11 +66,7 @@ def seed_table(texts: DataFrame, key: str, masks: tuple[str, ...], bits: bytes |
                     continue
                 hashed = np.fromiter(map(hash_of.__getitem__, words), np.uint64, len(words))
                 for one in seeds(hashed, masks):
-                    at = np.arange(len(one))
-                    if known is not None:
-                        first, second = slots(one)
-                        at = np.flatnonzero(known[first])
-                        at = at[known[second[at]]]
+                    at = np.arange(len(one)) if known is None else mapped(known, one)
                     if len(at):
                         found.append((one[at].view(np.int64), np.full(len(at), number, np.int64), at.astype(np.int32)))
             if found:
@@ -86,22 +75,6 @@ def seed_table(texts: DataFrame, key: str, masks: tuple[str, ...], bits: bytes |
     return texts.select(F.col(key).alias("key"), "text").mapInArrow(seeded, "seed long, key long, at int")
 
 
-def bit_map(bench: DataFrame) -> bytes:
-    """The map of the benchmark's seeds: words of 32 bits, combined before they come to the driver."""
-
-    def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            both = np.concatenate(slots(batch["seed"].to_numpy(zero_copy_only=False).view(np.uint64)))
-            values = np.int64(1) << (both % np.uint64(32)).astype(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array((both // np.uint64(32)).astype(np.int32)), pa.array(values)], ["word", "bits"])
-
-    rows = bench.mapInArrow(placed, "word int, bits long").groupBy("word").agg(F.expr("bit_or(bits)").alias("bits")).collect()
-    out = np.zeros(FILTER_BITS // 32, np.uint32)
-    for row in rows:
-        out[row["word"]] = row["bits"]
-    return out.astype("<u4").tobytes()
-
-
 def overlap(doc: list[str], item: list[str], shift: int, words: int, share: float) -> tuple[int, int, int] | None:
     """First word, length and agreeing words of what the item at offset ``shift`` covers of the document."""
     begin, end = max(shift, 0), min(shift + len(item), len(doc))
@@ -131,13 +104,14 @@ def find(
     docs = identified(docs)
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")).where("item_id IS NOT NULL")
     wanted = seed_table(items, "item_id", masks)
-    hits = seed_table(docs, "doc_id", masks, bit_map(wanted)).withColumnsRenamed({"key": "doc_id", "at": "_doc_at"})
+    hits = seed_table(docs, "doc_id", masks, bit_map(wanted.select(F.col("seed").alias("hash")))).withColumnsRenamed({"key": "doc_id", "at": "_doc_at"})
     wanted = wanted.withColumnsRenamed({"key": "item_id", "at": "_item_at"})
-    pairs = (
+    pairs = written(
         hits.join(wanted, "seed")
         .select("doc_id", "item_id", (F.col("_doc_at") - F.col("_item_at")).alias("_shift"))
         .groupBy("doc_id", "item_id")
-        .agg(F.collect_set("_shift").alias("shifts"))
+        .agg(F.collect_set("_shift").alias("shifts")),
+        "pairs",
     )
 
     def verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -152,7 +126,7 @@ def find(
             kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32())
             yield pa.RecordBatch.from_arrays([pa.array(x, kind) for x, kind in zip(columns, kinds, strict=True)], ["doc_id", "item_id", "first_word", "n_words", "n_matched"])
 
-    rows = pairs.join(items.withColumnRenamed("text", "item"), "item_id").join(docs, "doc_id").select("doc_id", "item_id", "shifts", "item", "text")
+    rows = pairs.join(items.withColumnRenamed("text", "item"), "item_id").join(texts_of(docs, pairs), "doc_id").select("doc_id", "item_id", "shifts", "item", "text")
     found = rows.mapInArrow(verified, "doc_id long, item_id long, first_word int, n_words int, n_matched int")
     best = F.max(F.struct("n_matched", (-F.col("first_word")).alias("_before"), "n_words"))
     return found.groupBy("doc_id", "item_id").agg(best.alias("x")).select(

@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from keyflow.llm.common import WORD, Memo, identified, lowered, partitions, runs, small_batches
+from keyflow.llm.common import WORD, Memo, identified, lowered, partitions, runs, small_batches, texts_of
 from keyflow.llm.components import components, written
 
 SHINGLE_WORDS = 5
@@ -241,8 +241,8 @@ def classes(docs: DataFrame, similarity: int = SIMILARITY, node_docs: int = NODE
     )
     members = nodes_of(texts, node_docs, levels, trees)
     pairs = written(proposals(members, texts, similarity), "pairs")
-    wanted = pairs.select("a").unionByName(pairs.select(F.col("b").alias("a"))).distinct()
-    full = written(docs.join(wanted, docs["doc_id"] == wanted["a"], "left_semi").select(F.col("doc_id").alias("id"), "text"), "full")
+    wanted = pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id")))
+    full = written(texts_of(docs, wanted).withColumnRenamed("doc_id", "id"), "full")
     links = written(confirmed(pairs.where("a <> b"), full, similarity), "links")
     roots = written(rooted(texts, links), "roots")
     more = written(links.unionByName(bridges(members, roots, full, similarity)), "links")
