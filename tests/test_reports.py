@@ -46,7 +46,9 @@ def test_offset_numbers_over_gaps_and_slices(spark, slice_size):
     assert {(r.partition, r.offset): r.n for r in got} == want
 
 
-def test_staged_numbers_in_any_order_with_a_large_group(spark):
+@pytest.mark.parametrize("most", [0, numbering.MAX_BROADCAST_RUNS])
+def test_staged_numbers_in_any_order_with_a_large_group(spark, monkeypatch, most):
+    monkeypatch.setattr(numbering, "MAX_BROADCAST_RUNS", most)
     rows = [(0 if n % 3 else n % 5, (n * 7919) % 1000, n) for n in range(900)]
     frame = spark.createDataFrame(rows, "g int, a int, b int").repartition(6)
     got = numbering.staged_numbers(frame, "g", ["a", "b"], "n").collect()

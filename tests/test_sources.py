@@ -1,4 +1,5 @@
 import json
+from datetime import datetime, timezone
 
 import pytest
 from conftest import ADDRESS, envelope, log_of
@@ -128,3 +129,14 @@ def test_a_body_that_cannot_be_read_is_a_null_event(spark):
     )
     got = rows.select(codecs.complete(F.col("e")).alias("e")).collect()
     assert got[0].e is None and got[1].e.customerId == "a"
+
+
+def test_raw_log_is_decoded(spark, tmp_path):
+    path = str(tmp_path / "raw")
+    body = b'{"customerId":"a","phoneNumber":"1","address":{"street":"s","city":"c","state":"TX","zip":"z"}}'
+    at = datetime(2024, 1, 2, tzinfo=timezone.utc)
+    rows = [("t", 0, n, at, None, b"k", [], value) for n, value in enumerate([body, b"{", None])]
+    spark.createDataFrame(rows, S.RAW_ENVELOPE).write.parquet(path)
+    got = {r.offset: r for r in envelopes.read_raw_log(spark, path).collect()}
+    assert got[0].event.customerId == "a" and got[1].event is None and got[2].event is None
+    assert all(r.arrival_ts == r.timestamp and r.key == "k" for r in got.values())
