@@ -37,7 +37,7 @@ def test_outbound_event(spark):
         "phoneNumber": "555-0100",
         "address": dict(zip(S.ADDRESS.names, ADDRESS)),
         "status": "PROCESSED",
-        "processedAt": "2024-02-15T01:02:03.500000Z",
+        "processedAt": "2024-02-15T01:02:03.500Z",
         "reason": "PROCESSED",
         "inboundTopic": "inbound",
         "inboundPartition": 0,
