@@ -27,7 +27,7 @@ NEIGHBOURS = 20
 SAMPLE_VALUES = 2_000_000
 ROUNDS = 8
 #: Lists: the square root of the rows up to this; share of the lists that a query probes, and the least number.
-LISTS = 1024
+LISTS = 64
 PROBE_SHARE = 0.7
 LEAST_PROBES = 8
 #: Rows of a list, or queries, that one task holds.
