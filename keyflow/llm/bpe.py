@@ -14,7 +14,6 @@ from __future__ import annotations
 import json
 from array import array
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -23,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import pre_tokenizers
 
-from keyflow.llm.common import CACHE_ENTRIES, Memo, identified, list_array, small_batches
+from keyflow.llm.common import CACHE_ENTRIES, Memo, identified, kept_by_worker, list_array, small_batches
 
 #: Fixed value: the split rule of byte-level vocabularies.
 SPLIT = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
@@ -57,9 +56,8 @@ class Automaton:
         with open(path, encoding="utf-8") as file:
             spec = json.load(file)
         symbols, model = byte_of_symbol(), spec["model"]
-        label = {token: bytes(symbols[x] for x in token) for token in model["vocab"]}
         self.ids = len(model["vocab"]) + len(spec["added_tokens"])
-        self.labels = {number: label[token] for token, number in model["vocab"].items()}
+        self.labels = labels_of(spec)
         self.born = {model["vocab"][symbol]: 0 for symbol in symbols}
         self.parts: dict[int, tuple[int, int]] = {}
         self.removed: dict[int, int] = {}
@@ -67,7 +65,6 @@ class Automaton:
             first, second = merge.split(" ") if isinstance(merge, str) else merge
             self.add_gadget(step, model["vocab"][first], model["vocab"][second], model["vocab"][first + second])
         self.extra = {token["content"]: token["id"] for token in spec["added_tokens"]}
-        self.labels |= {number: content.encode() for content, number in self.extra.items()}
         self.extra_split = regex.compile("|".join(map(regex.escape, sorted(self.extra, key=len, reverse=True)))) if self.extra else None
         self.steps = len(model["merges"])
         self.table = Memo(lambda pair: self.arc(*divmod(pair, self.ids), self.steps), TABLE_ENTRIES)
@@ -155,17 +152,34 @@ class Automaton:
         return b"".join([*out, self.encode_plain(text[at:])])
 
     def decode(self, ids: list[int]) -> str:
-        labels = self.labels
-        try:
-            data = b"".join(map(labels.__getitem__, ids))
-        except KeyError:
-            data = b"".join([labels.get(x, b"") for x in ids])
-        return data.decode("utf-8", "replace")
+        return text_of(self.labels, ids)
+
+
+def labels_of(spec: dict) -> dict[int, bytes]:
+    """The bytes of every token."""
+    symbols = byte_of_symbol()
+    labels = {number: bytes(symbols[x] for x in token) for token, number in spec["model"]["vocab"].items()}
+    return labels | {token["id"]: token["content"].encode() for token in spec["added_tokens"]}
+
+
+def text_of(labels: dict[int, bytes], ids: list[int]) -> str:
+    try:
+        data = b"".join(map(labels.__getitem__, ids))
+    except KeyError:
+        data = b"".join([labels.get(x, b"") for x in ids])
+    return data.decode("utf-8", "replace")
+
+
+def labels_in(path: str) -> dict[int, bytes]:
+    def read() -> dict[int, bytes]:
+        with open(path, encoding="utf-8") as file:
+            return labels_of(json.load(file))
+
+    return kept_by_worker("bpe", f"labels {path}", read)
 
 
-@lru_cache(2)
 def automaton(path: str) -> Automaton:
-    return Automaton(path)
+    return kept_by_worker("bpe", f"automaton {path}", lambda: Automaton(path))
 
 
 def encode(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -190,9 +204,9 @@ def decode(encoded: DataFrame, vocabulary: str) -> DataFrame:
     small_batches(encoded.sparkSession)
 
     def decoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        machine = automaton(vocabulary)
+        labels = labels_in(vocabulary)
         for batch in batches:
-            texts = [machine.decode(ids or []) for ids in batch["ids"].to_pylist()]
+            texts = [text_of(labels, ids or []) for ids in batch["ids"].to_pylist()]
             yield pa.RecordBatch.from_arrays([batch["doc_id"], batch["ids"], pa.array(texts, pa.string())], ["doc_id", "ids", "text"])
 
     return encoded.select("doc_id", "ids").mapInArrow(decoded, "doc_id long, ids array<int>, text string")

@@ -15,7 +15,7 @@ WORD = re.compile(r"[^\x20\x09-\x0D]+")
 ASCII_LOWER = {upper: upper + 32 for upper in range(65, 91)}
 #: Records handed to Python at once; a batch is text in memory, so it stays small.
 BATCH_RECORDS = 512
-CACHE_ENTRIES = 1_000_000
+CACHE_ENTRIES = 600_000
 #: Bits of a map that keeps most rows out of a join; 1 MB.
 FILTER_BITS = 1 << 23
 
@@ -130,6 +130,22 @@ def runs(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Table]:
         yield pa.Table.from_batches(held)
 
 
+#: What a Python worker keeps from task to task: the tables and caches of one operator.
+_kept: dict[str, dict[str, object]] = {}
+
+
+def kept_by_worker(operator: str, key: str, make):
+    """The object that a worker made under this key. Workers serve all operators of a session in turn, so what another
+    operator kept goes first, and memory doesn't add up over the stages of a pipeline."""
+    if operator not in _kept:
+        _kept.clear()
+        _kept[operator] = {}
+    own = _kept[operator]
+    if key not in own:
+        own[key] = make()
+    return own[key]
+
+
 class Memo(dict):
     """A bounded cache: ``fill`` computes what is missing. When it is full, its entries become the older half, of
     which only those in use come back; what was not used meanwhile goes with the next change."""

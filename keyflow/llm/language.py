@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from keyflow.llm.common import Memo, small_batches
+from keyflow.llm.common import Memo, kept_by_worker, small_batches
 
 UNDETERMINED = "und"
 LETTERS = re.compile(r"[^\W\d_]+")
@@ -99,15 +99,9 @@ class Model:
         return row.tobytes()
 
 
-#: The rows of words under the model that a worker used last.
-_rows: dict[str, Memo] = {}
-
-
 def rows_of(model: Model) -> Memo:
-    if model.name not in _rows:
-        _rows.clear()
-        _rows[model.name] = Memo(model.word_row)
-    return _rows[model.name]
+    """The rows of words under a model; a worker keeps them from task to task."""
+    return kept_by_worker(f"language {model.name}", "rows", lambda: Memo(model.word_row))
 
 
 def best_path(scores: np.ndarray, penalty: float = SWITCH_PENALTY) -> np.ndarray:

@@ -14,13 +14,12 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
-from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from keyflow.llm.common import WORD, Memo, identified, small_batches
+from keyflow.llm.common import WORD, Memo, identified, kept_by_worker, small_batches
 
 #: Fixed value: how piece vocabularies write the space before a word.
 SPACE_MARK = "▁"
@@ -59,6 +58,8 @@ class UnigramTrie:
                 self.back[child] = self.step(self.back[state], char)
             self.ends[child] = sorted(self.ends[child] + self.ends[self.back[child]])
         self.moves = Memo(lambda move: self.step(*move))
+        #: Counts of words met before.
+        self.known = Memo(None)
 
     def step(self, state: int, char: str) -> int:
         """The longest suffix read that begins a piece."""
@@ -114,8 +115,11 @@ class UnigramTrie:
         return out[::-1]
 
 
-@lru_cache(2)
 def trie_of(vocabulary: str) -> UnigramTrie:
+    return kept_by_worker("counts", vocabulary, lambda: read_trie(vocabulary))
+
+
+def read_trie(vocabulary: str) -> UnigramTrie:
     import sentencepiece
 
     model = sentencepiece.SentencePieceProcessor(model_file=vocabulary)
@@ -125,11 +129,6 @@ def trie_of(vocabulary: str) -> UnigramTrie:
     return UnigramTrie({model.id_to_piece(x): score for x, score in zip(usual, scores, strict=True)}, scores[-1])
 
 
-@lru_cache(2)
-def known_words(vocabulary: str) -> Memo:
-    return Memo(lambda word: None)
-
-
 def count_tokens(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, n_words, n_tokens, score`` of every whole text, in place, without a shuffle.
 
@@ -139,7 +138,8 @@ def count_tokens(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_
     small_batches(docs.sparkSession)
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        trie, known = trie_of(vocabulary), known_words(vocabulary)
+        trie = trie_of(vocabulary)
+        known = trie.known
         for batch in batches:
             texts = [WORD.findall(text) if text else [] for text in batch["text"].to_pylist()]
             seen: set[str] = set()

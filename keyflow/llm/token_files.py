@@ -11,7 +11,6 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -19,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from keyflow.llm.common import CACHE_ENTRIES, identified, list_array, partitions, small_batches
+from keyflow.llm.common import CACHE_ENTRIES, identified, kept_by_worker, list_array, partitions, small_batches
 
 END_ID = 1
 ROW_GROUP_BYTES = 8 << 20
@@ -103,9 +102,8 @@ class Pieces:
         return [b"".join(map(known, words)) for words in split]
 
 
-@lru_cache(2)
 def pieces(path: str) -> Pieces:
-    return Pieces(path)
+    return kept_by_worker("files", path, lambda: Pieces(path))
 
 
 def write(docs: DataFrame, vocabulary: str, path: str, end_id: int = END_ID, id_col: str = "doc_id", text_col: str = "text") -> None:
