@@ -53,7 +53,7 @@ class Pieces:
 
     def learn(self, parts: set[str]) -> None:
         """Makes the ids of all parts known."""
-        if len(self.known) > CACHE_ENTRIES // 2:
+        if len(self.known) > CACHE_ENTRIES:
             self.older, self.known = self.known, {}
         missing: dict[str, list[tuple[str, str]]] = {}
         known, older = self.known, self.older.get
