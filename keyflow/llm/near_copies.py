@@ -3,13 +3,15 @@
 A document is the set of its five-word shingles, and minwise hashing gives it tokens, one for each hash function. A tree
 branches documents by one token: those that agree in it share a node. A node that is still large branches again by
 further tokens, chosen by its path, several of them so that a pair gets several chances; what is large after the last level is
-dealt into blocks at random, with the node's smallest document in each. Nodes are compared exhaustively. Independent
+dealt into blocks at random, with the node's smallest document in each. Nodes and blocks are compared exhaustively. Independent
 trees repeat this: a pair of similarity s is missed by one tree with probability 1 - s, by eight at 0.85 with 3 in 10 million.
 
 Equal texts are one document here, so copies are never compared. Comparison is in two rounds. First each document of a
 node proposes the link to the one most like it by tokens; these links are confirmed on the full sets and give components.
 Then every pair of a node that the tokens leave possible and whose ends are still in different components is confirmed
-on the full sets within the node, which sends on no more links than it has documents.
+on the full sets within the node, which sends on no more links than it has documents. At last the nodes that were dealt
+into blocks are compared across them: documents outside the node's largest component meet all of its documents, one pair of
+blocks to a task, so that no pair whose ends are still apart is left out.
 """
 
 from __future__ import annotations
@@ -95,8 +97,8 @@ def token(at: Column | int) -> Column:
     return F.hex(F.substring("tokens", at * 4 + 1, 4))
 
 
-def nodes_of(texts: DataFrame, node_docs: int, levels: int, trees: int) -> DataFrame:
-    """``node, id``: members of all nodes with two documents at least."""
+def nodes_of(texts: DataFrame, node_docs: int, levels: int, trees: int) -> tuple[DataFrame, DataFrame]:
+    """``node, id``: members of all nodes with two documents at least, large ones in blocks; and the large ones whole."""
     roots = F.array(*(F.xxhash64(F.lit(tree), token(tree)) for tree in range(trees)))
     now = written(texts.select("id", F.explode(roots).alias("node")), "nodes")
     found = []
@@ -106,6 +108,7 @@ def nodes_of(texts: DataFrame, node_docs: int, levels: int, trees: int) -> DataF
         found.append(sized.where(F.col("n") <= node_docs).select("node", "id"))
         large = sized.where(F.col("n") > node_docs)
         if level == levels:
+            dealt = written(large.select("node", "id").distinct(), "large")
             blocks = F.ceil(F.col("n") / node_docs).cast("int")
             block = F.pmod(F.xxhash64("id", "node"), blocks).cast("int")
             place = F.when(F.col("id") == F.col("first"), F.sequence(F.lit(0), blocks - 1)).otherwise(F.array(block))
@@ -117,7 +120,35 @@ def nodes_of(texts: DataFrame, node_docs: int, levels: int, trees: int) -> DataF
     members = found[0]
     for more in found[1:]:
         members = members.unionByName(more)
-    return written(members.distinct(), "members")
+    return written(members.distinct(), "members"), dealt
+
+
+def across(dealt: DataFrame, roots: DataFrame, node_docs: int) -> DataFrame:
+    """``node, id``: pairs of blocks of the large nodes, so that each two documents of a node with different roots share one.
+
+    One end of such a pair is outside the node's most common root. These documents are dealt into blocks of ``node_docs``,
+    and each block meets every block of the whole node.
+    """
+    of = dealt.join(roots.select("id", "root").distinct(), "id")
+    by_root = of.groupBy("node", "root").agg(F.count("*").alias("n"))
+    sizes = by_root.groupBy("node").agg(F.sum("n").alias("n"), F.max(F.struct("n", "root")).alias("most")).where("n > most.n")
+    rows = of.join(sizes, "node").select(
+        "node",
+        "id",
+        (F.col("root") != F.col("most.root")).alias("outside"),
+        F.ceil((F.col("n") - F.col("most.n")) / node_docs).cast("int").alias("few"),
+        F.ceil(F.col("n") / node_docs).cast("int").alias("all"),
+    )
+
+    def block(seed: int, blocks: str) -> Column:
+        return F.pmod(F.xxhash64(F.lit(seed), "id", "node"), F.col(blocks)).cast("int")
+
+    def every(blocks: str) -> Column:
+        return F.explode(F.sequence(F.lit(0), F.col(blocks) - 1))
+
+    left = rows.where("outside").select("node", "id", block(1, "few").alias("i"), every("all").alias("j"))
+    right = rows.select("node", "id", every("few").alias("i"), block(2, "all").alias("j"))
+    return left.unionByName(right).select(F.xxhash64("node", "i", "j").alias("node"), "id").distinct()
 
 
 def gathered(members: DataFrame, texts: DataFrame) -> DataFrame:
@@ -131,10 +162,11 @@ def sketch_rows(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return table["id"].to_numpy(), table["n_shingles"].to_numpy(), tokens
 
 
-def alike(at: int, sizes: np.ndarray, tokens: np.ndarray, similarity: int, agreement: int) -> tuple[np.ndarray, np.ndarray]:
-    """Earlier rows that may be linked with row ``at``, and how many tokens agree."""
-    agree = (tokens[:at] == tokens[at]).sum(axis=1)
-    small, large = np.minimum(sizes[:at], sizes[at]), np.maximum(sizes[:at], sizes[at])
+def alike(at: int, sizes: np.ndarray, tokens: np.ndarray, similarity: int, agreement: int, end: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Rows before ``end`` (earlier ones without it) that may be linked with row ``at``, and how many tokens agree."""
+    end = at if end is None else end
+    agree = (tokens[:end] == tokens[at]).sum(axis=1)
+    small, large = np.minimum(sizes[:end], sizes[at]), np.maximum(sizes[:end], sizes[at])
     rows = np.flatnonzero((agree >= agreement) & (100 * small >= similarity * large))
     return rows, agree[rows]
 
@@ -177,22 +209,32 @@ def confirmed(pairs: DataFrame, full: DataFrame, similarity: int) -> DataFrame:
     return rows.select("a", "b", "text_a", "text_b").mapInArrow(checked, "a long, b long")
 
 
-def bridges(members: DataFrame, texts: DataFrame, full: DataFrame, similarity: int) -> DataFrame:
-    """``a, b``: links between documents of a node that have different ``root`` s in ``texts``."""
+def apart(members: DataFrame, texts: DataFrame, similarity: int) -> DataFrame:
+    """Members, with columns, that the tokens leave possible as a link to one of their node with a different ``root``."""
     agreement = least_agreement(similarity)
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in runs(batches, "node"):
             ids, sizes, tokens = sketch_rows(table)
             roots, open_rows = table["root"].to_numpy(), set()
-            for at in range(1, len(ids)) if (roots != roots[0]).any() else ():
-                rows, _ = alike(at, sizes, tokens, similarity, agreement)
+            _, place, n = np.unique(roots, return_inverse=True, return_counts=True)
+            # one end of each pair with different roots is outside the most common one
+            for at in np.flatnonzero(place != n.argmax()).tolist():
+                rows, _ = alike(at, sizes, tokens, similarity, agreement, len(ids))
                 rows = rows[roots[rows] != roots[at]]
                 if len(rows):
                     open_rows.update([at, *rows.tolist()])
             if open_rows:
                 yield from table.select(["node", "id", "n_shingles", "tokens", "root"]).take(sorted(open_rows)).to_batches()
 
+    schema = "node long, id long, n_shingles long, tokens binary, root long"
+    return gathered(members, texts).select("node", "id", "n_shingles", "tokens", "root").mapInArrow(split, schema)
+
+
+def bridges(rows: DataFrame, full: DataFrame, similarity: int) -> DataFrame:
+    """``a, b``: links between documents of a node that have different ``root`` s, of what ``apart`` found."""
+    agreement = least_agreement(similarity)
+
     def joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hash_of = Memo(xxhash.xxh64_intdigest).__getitem__
         for table in runs(batches, "node"):
@@ -207,8 +249,6 @@ def bridges(members: DataFrame, texts: DataFrame, full: DataFrame, similarity: i
             if found:
                 yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*found, strict=True)], ["a", "b"])
 
-    schema = "node long, id long, n_shingles long, tokens binary, root long"
-    rows = gathered(members, texts).select("node", "id", "n_shingles", "tokens", "root").mapInArrow(split, schema)
     together = rows.join(full, "id").repartition(partitions(rows.sparkSession), "node").sortWithinPartitions("node", "id")
     return together.select("node", "id", "n_shingles", "tokens", "root", "text").mapInArrow(joined, "a long, b long").distinct()
 
@@ -239,13 +279,18 @@ def classes(docs: DataFrame, similarity: int = SIMILARITY, node_docs: int = NODE
         .distinct(),
         "texts",
     )
-    members = nodes_of(texts, node_docs, levels, trees)
+    members, dealt = nodes_of(texts, node_docs, levels, trees)
     pairs = written(proposals(members, texts, similarity), "pairs")
     wanted = pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id")))
     full = written(texts_of(docs, wanted).withColumnRenamed("doc_id", "id"), "full")
     links = written(confirmed(pairs.where("a <> b"), full, similarity), "links")
     roots = written(rooted(texts, links), "roots")
-    more = written(links.unionByName(bridges(members, roots, full, similarity)), "links")
+    more = written(links.unionByName(bridges(apart(members, roots, similarity), full, similarity)), "links")
+    if not dealt.isEmpty():
+        roots = written(rooted(texts, more), "roots")
+        ends = written(apart(across(dealt, roots, node_docs), roots, similarity), "apart")
+        full = written(texts_of(docs, ends.select(F.col("id").alias("doc_id"))).withColumnRenamed("doc_id", "id"), "full")
+        more = written(more.unionByName(bridges(ends, full, similarity)), "links")
     roots = rooted(texts.select("id").distinct(), more)
     of_key = groups.join(roots, "id").select(F.col("key"), F.col("root"))
     component = F.coalesce("root", "doc_id")

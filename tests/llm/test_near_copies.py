@@ -62,6 +62,25 @@ def test_equals_all_pairs(spark, options):
         assert want[row.component_id][1] == want[i][1]
 
 
+def test_large_nodes_are_compared_whole(spark):
+    rng = random.Random(4)
+    base = [f"w{n}" for n in range(400)]
+    family = []
+    for n in range(40):  # alike by about 0.83, too little for a link
+        text = [*base]
+        for at in range(n % 5, 400, 55):
+            text[at] = f"x{n}_{at}"
+        family.append(text)
+    for n in range(0, 40, 2):  # each second one has a single near copy
+        text = [*family[n]]
+        text[7 + n] = "other"
+        family.append(text)
+    rng.shuffle(family)
+    rows = [*enumerate(map(" ".join, family))]
+    found = nc.classes(docs_of(spark, rows), node_docs=3, levels=0, trees=3).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in found} == brute(rows)
+
+
 def test_odd_rows(spark):
     docs = clashing(docs_of(spark, ODD))
     found = nc.classes(docs).collect()
