@@ -3,7 +3,8 @@
 A word is a run of letters. Its script leaves the languages that were learned to use it; each of them scores the word by
 the letter n-grams that were learned for it. A path over the words of a document pays a penalty for each change of
 language; the best path labels the spans of a mixed text. Most texts have one language: where no stretch of words gains
-more than the penalty by any other language, the best path has no change, and that is found without the loop over words.
+half the penalty by any other language, the best path has no change, and that is found without the loop over words. (A
+path of m stretches pays m - 1 changes, so m gains are less than its penalties if each is less than half of one.)
 """
 
 from __future__ import annotations
@@ -111,7 +112,7 @@ def best_path(scores: np.ndarray, penalty: float = SWITCH_PENALTY) -> np.ndarray
     main = int(sums.argmax())
     gain = np.cumsum(scores - scores[:, main : main + 1], axis=0, dtype=np.float64)
     gain = np.vstack([np.zeros(scores.shape[1]), gain])
-    if (gain - np.minimum.accumulate(gain, axis=0)).max() <= penalty:
+    if 2 * (gain - np.minimum.accumulate(gain, axis=0)).max() < penalty:
         return np.full(len(scores), main, np.int32)
     score, tops, switched = scores[0].tolist(), [0], [()]
     for row in scores[1:].tolist():

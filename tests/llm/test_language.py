@@ -37,6 +37,13 @@ def test_path_is_the_best_of_all():
         assert value(language.best_path(scores, penalty).tolist()) == pytest.approx(best, abs=1e-4)
 
 
+def test_two_languages_beside_the_main_one():
+    first, then = [[-1.2, 0.0, -3.0]] * 10, [[-1.2, -3.0, 0.0]] * 10
+    labels = language.best_path(np.array(first + then, np.float32), 15.0)
+    assert labels.tolist() == [1] * 10 + [2] * 10
+    assert language.best_path(np.array(first, np.float32), 15.0).tolist() == [1] * 10
+
+
 def test_mixed_text_has_spans(spark, model):
     docs = {row.lang: row.text for row in table(spark, SF_DIR, "documents").where("n_chars > 1500").select("lang", "text").collect()}
     text = docs["en"][:900] + "\n" + docs["de"][:900]
