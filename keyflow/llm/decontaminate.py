@@ -1,7 +1,8 @@
 """Benchmark decontamination by spaced seeds.
 
 A mask picks some positions of a run of words and ignores the others, so a substituted word spoils only the seeds
-that look at it. Seeds of the benchmark and of the documents are joined by hash; a hit says at which offset an item
+that look at it. The masks of each length of item are chosen so that one seed at least is left whichever words are
+substituted, as many as may be. Seeds of the benchmark and of the documents are joined by hash; a hit says at which offset an item
 may lie in a document, and that alignment is then compared word by word. To keep the seeds of ordinary text out of
 the shuffle, documents are first held against a bit map of the benchmark's seeds. It has a fixed size whatever the
 benchmark's; a larger benchmark fills it up and only lets more seeds through to the join.
@@ -22,16 +23,39 @@ from keyflow.llm.common import Memo, bit_map, identified, mapped, small_batches,
 from keyflow.llm.components import written
 
 TOKEN = re.compile(r"\w+")
-#: Fixed masks: which words of a run count.
-MASKS = ("111011011", "110110111", "111100111", "101111101")
+#: Scripts without spaces between words: Thai, Lao, Myanmar, Khmer, kana, Han.
+UNSPACED = r"\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3005-\u3007\u3040-\u30ff\u31f0-\u31ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\uff66-\uff9f\U00020000-\U000323af"
+HAS_UNSPACED = re.compile(f"[{UNSPACED}]")
+UNSPACED_TOKEN = re.compile(rf"(?=\w)[{UNSPACED}]|[^\W{UNSPACED}]+")
+#: Fixed masks, which words of a run count: those of each length of an item, the last for all longer ones.
+LONG = ("111011011", "110110111", "111100111", "101111101")
+MASKS = {
+    1: ("1",),
+    2: ("11",),
+    3: ("111",),
+    4: ("1111",),
+    5: ("111", "1101"),
+    6: ("1111", "11011"),
+    7: ("11111", "110111", "111011"),
+    8: ("111111", "1101111", "1111011"),
+    9: (*LONG, "11111111"),
+    10: (*LONG, "11111", "110111", "1101011"),
+    11: (*LONG, "111111", "1101111", "1100101011"),
+    12: (*LONG, "1111111", "11001010111"),
+    13: (*LONG, "110010101111"),
+}
 #: Words that must be compared and the share of them that must agree; an item with fewer words is compared whole.
 OVERLAP_WORDS = 13
 OVERLAP_SHARE = 0.8
 
 
 def tokens(text: str | None) -> list[str]:
-    """Words without punctuation, in lower case."""
-    return TOKEN.findall(text.lower()) if text else []
+    """Words without punctuation, in lower case; single characters in scripts without spaces."""
+    if not text:
+        return []
+    lower = text.lower()
+    spaced = lower.isascii() or not HAS_UNSPACED.search(lower)
+    return (TOKEN if spaced else UNSPACED_TOKEN).findall(lower)
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -39,40 +63,42 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(29))
 
 
-def seeds(words: np.ndarray, masks: tuple[str, ...] = MASKS) -> list[np.ndarray]:
-    """Per mask, the hash of the run that begins at each word."""
-    out = []
-    for number, mask in enumerate(masks):
-        n = len(words) - len(mask) + 1
-        total = np.full(max(n, 0), number + 1, np.uint64)
-        for at, bit in enumerate(mask):
-            if bit == "1" and n > 0:
-                total = mixed(total + words[at : at + n])
-        out.append(total)
-    return out
+def seeds(words: np.ndarray, mask: str, number: int) -> np.ndarray:
+    """The hash of the run that begins at each word."""
+    n = len(words) - len(mask) + 1
+    total = np.full(max(n, 0), number + 1, np.uint64)
+    for at, bit in enumerate(mask):
+        if bit == "1" and n > 0:
+            total = mixed(total + words[at : at + n])
+    return total
 
 
-def seed_table(texts: DataFrame, key: str, masks: tuple[str, ...], bits: bytes | None = None) -> DataFrame:
-    """``seed, key, at`` of all runs; with ``bits`` only of those whose seed the map has."""
+def seed_table(texts: DataFrame, key: str, masks: dict[int, tuple[str, ...]], used: list[int] | None = None, bits: bytes | None = None) -> DataFrame:
+    """``seed, key, at, mask`` of all runs by the masks of the text's length; with ``used`` by the masks of these numbers
+    whatever the length, and only of runs whose seed the map ``bits`` has."""
+    numbers = {mask: number for number, mask in enumerate(sorted({mask for some in masks.values() for mask in some}))}
+    by_length = {length: [(numbers[mask], mask) for mask in some] for length, some in masks.items()}
+    of_docs = [(number, mask) for mask, number in numbers.items() if used is not None and number in used]
 
     def seeded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hash_of = Memo(xxhash.xxh64_intdigest)
         known = unpacked(bits) if bits else None
         for batch in batches:
-            found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-            for number, text in zip(batch["key"].to_pylist(), batch["text"].to_pylist(), strict=True):
+            found: list[tuple[np.ndarray, ...]] = []
+            for key_of, text in zip(batch["key"].to_pylist(), batch["text"].to_pylist(), strict=True):
                 words = tokens(text)
-                if number is None or len(words) < min(map(len, masks)):
+                if key_of is None or not words:
                     continue
                 hashed = np.fromiter(map(hash_of.__getitem__, words), np.uint64, len(words))
-                for one in seeds(hashed, masks):
+                for number, mask in by_length[min(len(words), max(by_length))] if used is None else of_docs:
+                    one = seeds(hashed, mask, number)
                     at = np.arange(len(one)) if known is None else mapped(known, one)
                     if len(at):
-                        found.append((one[at].view(np.int64), np.full(len(at), number, np.int64), at.astype(np.int32)))
+                        found.append((one[at].view(np.int64), np.full(len(at), key_of, np.int64), at.astype(np.int32), np.full(len(at), number, np.int32)))
             if found:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*found, strict=True)], ["seed", "key", "at"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*found, strict=True)], ["seed", "key", "at", "mask"])
 
-    return texts.select(F.col(key).alias("key"), "text").mapInArrow(seeded, "seed long, key long, at int")
+    return texts.select(F.col(key).alias("key"), "text").mapInArrow(seeded, "seed long, key long, at int, mask int")
 
 
 def overlap(doc: list[str], item: list[str], shift: int, words: int, share: float) -> tuple[int, int, int] | None:
@@ -91,21 +117,23 @@ def overlap(doc: list[str], item: list[str], shift: int, words: int, share: floa
 
 
 def find(
-    docs: DataFrame, benchmark: DataFrame, masks: tuple[str, ...] = MASKS, words: int = OVERLAP_WORDS, share: float = OVERLAP_SHARE
+    docs: DataFrame, benchmark: DataFrame, masks: dict[int, tuple[str, ...]] = MASKS, words: int = OVERLAP_WORDS, share: float = OVERLAP_SHARE
 ) -> DataFrame:
     """``doc_id, item_id, first_word, n_words, n_matched``: items that lie in documents, one row per pair.
 
     A pair is reported if at some offset a run of ``words`` words, or the whole of a shorter item, agrees in at least
-    ``share`` of them; the row has the offset with most agreeing words, the first of several. Items with fewer words than
-    the masks are long, null or empty texts and rows without id match nothing. Repeated ids: a pair is reported
-    once for all rows that share them.
+    ``share`` of them; the row has the offset with most agreeing words, the first of several. Null or empty texts and rows
+    without id match nothing. Repeated ids: a pair is reported once for all rows that share them. ``MASKS`` miss nothing
+    at the usual ``words`` and ``share``. Documents are seeded only by masks that some item has.
     """
     small_batches(docs.sparkSession)
     docs = identified(docs)
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")).where("item_id IS NOT NULL")
     wanted = seed_table(items, "item_id", masks)
-    hits = seed_table(docs, "doc_id", masks, bit_map(wanted.select(F.col("seed").alias("hash")))).withColumnsRenamed({"key": "doc_id", "at": "_doc_at"})
-    wanted = wanted.withColumnsRenamed({"key": "item_id", "at": "_item_at"})
+    used = [row["mask"] for row in wanted.select("mask").distinct().collect()]
+    bits = bit_map(wanted.select(F.col("seed").alias("hash")))
+    hits = seed_table(docs, "doc_id", masks, used, bits).drop("mask").withColumnsRenamed({"key": "doc_id", "at": "_doc_at"})
+    wanted = wanted.drop("mask").withColumnsRenamed({"key": "item_id", "at": "_item_at"})
     pairs = written(
         hits.join(wanted, "seed")
         .select("doc_id", "item_id", (F.col("_doc_at") - F.col("_item_at")).alias("_shift"))

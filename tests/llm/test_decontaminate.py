@@ -1,3 +1,4 @@
+import itertools
 import random
 
 from llm.docs_of import ODD, clashing, docs_of
@@ -58,3 +59,29 @@ def test_overlap():
     assert dc.overlap(doc, item, 1, 13, 0.8) == (1, 5, 5)
     assert dc.overlap(doc, item, 2, 13, 0.8) is None
     assert dc.overlap(doc, item, 5, 13, 0.8) is None
+
+
+def test_masks_leave_a_seed_whatever_is_substituted():
+    for length in range(1, 14):
+        wrong = max(n for n in range(length + 1) if length - n >= dc.OVERLAP_SHARE * length)
+        for places in itertools.combinations(range(length), wrong):
+            runs = ((mask, at) for mask in dc.MASKS[length] for at in range(length - len(mask) + 1))
+            assert any(all(mask[x - at] == "0" for x in places if 0 <= x - at < len(mask)) for mask, at in runs), (length, places)
+
+
+def test_short_items_are_found(spark):
+    rng = random.Random(6)
+    items = {n: words(rng, n) for n in range(1, 13)} | {13: words(rng, 30)}
+    chinese = "我们在这里写下一个很长的句子没有空格"
+    bench = spark.createDataFrame([*((n, " ".join(x)) for n, x in items.items()), (99, chinese)], "item_id long, text string")
+    rows, want = [], set()
+    for n, item in items.items():
+        wrong = {13: 2}.get(n, n - next(k for k in range(n + 1) if k >= 0.8 * n))
+        item = item[:13]
+        for places in [(), *itertools.combinations(range(len(item)), wrong)]:
+            text = ["other" if at in places else x for at, x in enumerate(item)]
+            want.add((len(rows), n))
+            rows.append((len(rows), " ".join([*words(rng, 20), *text, *words(rng, 20)])))
+    want.add((len(rows), 99))
+    rows.append((len(rows), f"前面{chinese[:6]}他{chinese[7:]}后面"))
+    assert {(r.doc_id, r.item_id) for r in dc.find(docs_of(spark, rows), bench).collect()} == want
