@@ -59,26 +59,26 @@ def list_array(parts: list[bytes], dtype: str = "<i4") -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(parts), dtype)))
 
 
-def slots(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def slots(hashes: np.ndarray, bits: int = FILTER_BITS) -> tuple[np.ndarray, np.ndarray]:
     """Two bits of a bit map for each 64-bit hash."""
-    size = np.uint64(FILTER_BITS)
+    size = np.uint64(bits)
     return hashes % size, (hashes >> np.uint64(24)) % size
 
 
-def bit_map(hashes: DataFrame) -> bytes:
+def bit_map(hashes: DataFrame, bits: int = FILTER_BITS) -> bytes:
     """A map of the hashes in column ``hash``, of a fixed size whatever their number. Words of 32 bits are combined in
     tasks, so at most one row for each word comes to the driver."""
 
     def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            both = np.concatenate(slots(batch["hash"].to_numpy(zero_copy_only=False).view(np.uint64)))
+            both = np.concatenate(slots(batch["hash"].to_numpy(zero_copy_only=False).view(np.uint64), bits))
             values = np.int64(1) << (both % np.uint64(32)).astype(np.int64)
             yield pa.RecordBatch.from_arrays([pa.array((both // np.uint64(32)).astype(np.int32)), pa.array(values)], ["word", "bits"])
 
     words = hashes.select("hash").mapInArrow(placed, "word int, bits long").groupBy("word").agg(F.expr("bit_or(bits)").alias("bits"))
-    out = np.zeros(FILTER_BITS // 32, np.uint32)
-    for row in words.collect():
-        out[row["word"]] = row["bits"]
+    found = words.toArrow()
+    out = np.zeros(bits // 32, np.uint32)
+    out[found["word"].to_numpy()] = found["bits"].to_numpy().astype(np.uint32)
     return out.astype("<u4").tobytes()
 
 

@@ -112,7 +112,7 @@ def components(vectors: pa.Array) -> dict[int, tuple[np.ndarray, np.ndarray]]:
     return out
 
 
-def stretches(batches: Iterator[pa.RecordBatch], rows: int = BATCH_ROWS) -> Iterator[pa.Table]:
+def stretches(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.Table]:
     """Batches put together until they have ``rows`` rows."""
     held, size = [], 0
     for batch in batches:
@@ -184,7 +184,7 @@ def chunks(rows: np.ndarray, parts: np.ndarray, width: int) -> Iterator[tuple[np
 
 def candidates_of(batches: Iterator[pa.RecordBatch], anchors: Anchors) -> Iterator[tuple]:
     """Candidates and anchors of the same vector length: ids, labels and components of both."""
-    for table in stretches(batches):
+    for table in stretches(batches, BATCH_ROWS):
         ids, labels = table["_id"].fill_null(NO_ID).to_numpy(), table["_label"].to_numpy()
         for length, (rows, parts) in components(table["_vector"]).items():
             if length in anchors.rows:

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from keyflow.llm import bpe, brown, chat, decontaminate, hard_negatives, language, near_copies, nearest, repeats, token_counts, token_files
+from keyflow.llm import bpe, brown, chat, decontaminate, hard_negatives, language, near_copies, nearest, repeats, source_divergence, token_counts, token_files
 from keyflow.llm.common import fold_of, table
 from keyflow.session import scratch_path
 
@@ -66,6 +66,10 @@ def op10_near_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_copies.classes(table(spark, sf_dir, "documents"))
 
 
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_divergence.audit(table(spark, sf_dir, "documents"))
+
+
 def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings")
     return hard_negatives.mine(vectors, F.col("vec_id") % 50 == 0, hard_negatives.relabelled())
@@ -84,7 +88,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_brown,
         op9_decontaminate,
         op10_near_copies,
+        op12_source_divergence,
         op13_hard_negatives,
     )
 }
-ORACLES: dict[str, str] = {"op6_chat": chat.SQL, "op13_hard_negatives": hard_negatives.SQL}
+ORACLES: dict[str, str] = {
+    "op6_chat": chat.SQL,
+    "op12_source_divergence": source_divergence.SQL,
+    "op13_hard_negatives": hard_negatives.SQL,
+}

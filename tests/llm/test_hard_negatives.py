@@ -2,6 +2,7 @@ import math
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -63,14 +64,31 @@ def test_products_beyond_a_long_become_its_end():
 
 
 @pytest.mark.parametrize("limits", [{}, {"block_anchors": 3}, {"block_components": 40}])
-def test_equals_the_definition(spark, monkeypatch, limits):
-    monkeypatch.setattr(hard_negatives, "BATCH_ROWS", 16)
-    monkeypatch.setattr(hard_negatives, "CELLS", 50)
+def test_equals_the_definition(spark, limits):
     rows = vectors(300, 6)
     want = brute(rows, 10)
     assert want and mined(spark, rows, 10, **limits) == want
 
 
+@pytest.mark.parametrize("batch, cells", [(1, 1), (16, 50), (10_000, 1 << 21)])
+def test_small_batches_and_stretches_find_the_same(monkeypatch, batch, cells):
+    monkeypatch.setattr(hard_negatives, "BATCH_ROWS", batch)
+    monkeypatch.setattr(hard_negatives, "CELLS", cells)
+    ids, parts, labels = zip(*vectors(200, 5), strict=True)
+    rows = pa.table({"_n": pa.array(ids), "_id": pa.array(ids), "_label": pa.array(labels, pa.int64()), "_vector": pa.array(parts, pa.list_(pa.float32()))})
+    anchors = hard_negatives.Anchors(rows.slice(0, 20))
+    best = hard_negatives.best_positives(iter(rows.to_batches(max_chunksize=7)), anchors, 6)
+    found = pa.Table.from_batches([hard_negatives.best_rows(best, ["slot", "score", "id"])[1]])
+    scores, positive, n = hard_negatives.own_removed(anchors, found, 5)
+    worst = hard_negatives.best_negatives(iter(rows.to_batches(max_chunksize=7)), anchors, scores, n, 3)
+    got = Counter()
+    for slot in range(len(worst.found)):
+        for place in range(worst.found[slot]):
+            at, of = divmod(slot, 5)
+            got[at, int(positive[at, of]), place + 1, int(worst.ids[slot, place]), int(scores[at, of]), int(worst.scores[slot, place])] += 1
+    assert got == Counter({row: n for row, n in brute(list(zip(ids, parts, labels, strict=True)), 1).items() if row[0] < 20})
+
+
 def test_large_components_take_long_integers(spark):
     rows = [(i, v, label) for i, v, label in vectors(60, 3, scale=30000.0)]
     want = brute(rows, 10)
