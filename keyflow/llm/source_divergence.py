@@ -14,9 +14,8 @@ of sources, dealt by term over as many tasks as the counts need; a tile's sums o
 from __future__ import annotations
 
 import math
-import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -24,14 +23,14 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from keyflow.llm.common import Memo, bit_map, lowered, small_batches, unpacked
+from keyflow.llm.common import Memo, bit_map, small_batches, unpacked
 from keyflow.llm.components import written
 
-#: A term: letters A to Z and all that is not ASCII.
-TERM = re.compile(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+")
+#: A term is a run of letters A to Z, in lower case, and bytes beyond ASCII; all other bytes of a text become spaces.
+TERM_BYTES = bytes(b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
 LEAST_DOCS = 10
 #: Bytes of the first level's prefixes; each level doubles them.
-FIRST_BYTES = 4
+FIRST_BYTES = 8
 TOP_TERMS = 10
 #: Counters of a task are passed on when they have so many entries.
 ENTRIES = 400_000
@@ -47,22 +46,33 @@ CELLS = 1 << 20
 
 
 def terms_of(text: str) -> Counter:
-    return Counter(TERM.findall(lowered(text)))
+    return Counter(text.encode().translate(TERM_BYTES).split())
 
 
 def staged_terms(docs: DataFrame) -> DataFrame:
-    """``lang, source, terms, counts``: the distinct terms of every document."""
+    """``lang, source, terms, counts``: the distinct terms of every document, between spaces, and their packed counts.
+
+    Documents of a source lie together, in partitions of the advised size however large the source is, so that what tasks
+    count for it is few rows.
+    """
 
     def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = [terms_of(text) for text in batch["text"].to_pylist()]
-            offsets = pa.array(np.concatenate([[0], np.cumsum([len(x) for x in found])]).astype(np.int32))
-            terms = pa.array([term for x in found for term in x], pa.string()).cast(pa.binary())
-            counts = pa.array([n for x in found for n in x.values()], pa.int64())
-            lists = [pa.ListArray.from_arrays(offsets, terms), pa.ListArray.from_arrays(offsets, counts)]
-            yield pa.RecordBatch.from_arrays([batch["lang"], batch["source"], *lists], ["lang", "source", "terms", "counts"])
+            terms = pa.array([b" ".join(x) for x in found], pa.binary())
+            counts = pa.array([np.fromiter(x.values(), "<i4", len(x)).tobytes() for x in found], pa.binary())
+            yield pa.RecordBatch.from_arrays([batch["lang"], batch["source"], terms, counts], ["lang", "source", "terms", "counts"])
+
+    found = docs.mapInArrow(listed, "lang string, source string, terms binary, counts binary")
+    return docs.sparkSession.sql("SELECT /*+ REBALANCE(lang, source) */ * FROM {found}", found=found)
+
+
+def binaries(counters: Iterable[Counter]) -> pa.Array:
+    return pa.array([key for found in counters for key in found], pa.binary())
+
 
-    return docs.mapInArrow(listed, "lang string, source string, terms array<binary>, counts array<bigint>")
+def numbers(counters: Iterable[Counter]) -> pa.Array:
+    return pa.array([n for found in counters for n in found.values()], pa.int64())
 
 
 def key_hash(lang: str, prefix: bytes) -> int:
@@ -94,7 +104,8 @@ def prefixes(staged: DataFrame, size: int, before: int, kept: bytes | None) -> D
         known = None if kept is None else Known(kept)
         docs: dict[str, tuple[Counter, Counter]] = {}
         for batch in batches:
-            for lang, terms in zip(batch["lang"].to_pylist(), batch["terms"].to_pylist(), strict=True):
+            for lang, joined in zip(batch["lang"].to_pylist(), batch["terms"].to_pylist(), strict=True):
+                terms = joined.split(b" ") if joined else []
                 if known is not None:
                     stayed = known(lang)
                     terms = [term for term in terms if len(term) > before and stayed[term[:before]]]
@@ -107,9 +118,10 @@ def prefixes(staged: DataFrame, size: int, before: int, kept: bytes | None) -> D
         yield packed(docs)
 
     def packed(docs: dict[str, tuple[Counter, Counter]]) -> pa.RecordBatch:
-        rows = [(lang, prefix, complete, n) for lang, both in docs.items() for complete, found in enumerate(both) for prefix, n in found.items()]
-        langs, found, complete, n = zip(*rows, strict=True) if rows else ((), (), (), ())
-        arrays = [pa.array(langs, pa.string()), pa.array(found, pa.binary()), pa.array(np.array(complete, bool)), pa.array(n, pa.int64())]
+        parts = [(lang, bool(complete), found) for lang, both in docs.items() for complete, found in enumerate(both)]
+        sizes = [len(found) for _, _, found in parts]
+        keys = [pa.array(np.repeat(np.array([part[at] for part in parts], kind), sizes)) for at, kind in ((0, object), (1, bool))]
+        arrays = [keys[0].cast(pa.string()), binaries(found for *_, found in parts), keys[1], numbers(found for *_, found in parts)]
         return pa.RecordBatch.from_arrays(arrays, ["lang", "prefix", "complete", "docs"])
 
     rows = staged.select("lang", "terms").mapInArrow(counted, "lang string, prefix binary, complete boolean, docs bigint")
@@ -153,9 +165,10 @@ def counts_in(staged: DataFrame, terms: DataFrame) -> DataFrame:
         groups: dict[tuple[str, str], Counter] = {}
         for batch in batches:
             columns = [batch[name].to_pylist() for name in ("lang", "source", "terms", "counts")]
-            for lang, source, found, counts in zip(*columns, strict=True):
+            for lang, source, joined, counts in zip(*columns, strict=True):
                 stayed, own = known(lang), groups.setdefault((lang, source), Counter())
-                for term, n in zip(found, counts, strict=True):
+                found = joined.split(b" ") if joined else []
+                for term, n in zip(found, np.frombuffer(counts, "<i4").tolist(), strict=True):
                     if stayed[term]:
                         own[term] += n
             if sum(map(len, groups.values())) > ENTRIES:
@@ -164,10 +177,10 @@ def counts_in(staged: DataFrame, terms: DataFrame) -> DataFrame:
         yield packed(groups)
 
     def packed(groups: dict[tuple[str, str], Counter]) -> pa.RecordBatch:
-        rows = [(*group, term, n) for group, found in groups.items() for term, n in found.items()]
-        columns = zip(*rows, strict=True) if rows else ((), (), (), ())
-        types = [pa.string(), pa.string(), pa.binary(), pa.int64()]
-        return pa.RecordBatch.from_arrays([pa.array(x, kind) for x, kind in zip(columns, types, strict=True)], ["lang", "source", "prefix", "n"])
+        sizes = [len(found) for found in groups.values()]
+        keys = [pa.array(np.repeat(np.array([group[at] for group in groups], object), sizes)).cast(pa.string()) for at in (0, 1)]
+        arrays = [*keys, binaries(groups.values()), numbers(groups.values())]
+        return pa.RecordBatch.from_arrays(arrays, ["lang", "source", "prefix", "n"])
 
     rows = staged.mapInArrow(counted, "lang string, source string, prefix binary, n bigint")
     summed = rows.groupBy("lang", "source", "prefix").agg(F.sum("n").alias("n"))
