@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 #: White space of the word rules: space and the controls 9 to 13.
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
-ASCII_LOWER = {upper: upper + 32 for upper in range(65, 91)}
+ASCII_LOWER = bytes(byte + 32 if 65 <= byte <= 90 else byte for byte in range(256))
 #: Records handed to Python at once; a batch is text in memory, so it stays small.
 BATCH_RECORDS = 512
 CACHE_ENTRIES = 600_000
@@ -48,7 +48,7 @@ def fold_of(doc_id: Column, folds: int) -> Column:
 
 def lowered(text: str) -> str:
     """A to Z in lower case, all else as it is."""
-    return text.lower() if text.isascii() else text.translate(ASCII_LOWER)
+    return text.lower() if text.isascii() else text.encode().translate(ASCII_LOWER).decode()
 
 
 def list_array(parts: list[bytes], dtype: str = "<i4") -> pa.ListArray:
