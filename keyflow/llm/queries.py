@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from keyflow.llm import bpe, brown, chat, decontaminate, hard_negatives, language, near_copies, nearest, repeats, source_divergence, token_counts, token_files
+from keyflow.llm import bpe, brown, chat, decontaminate, hard_negatives, language, near_copies, nearest, repeats, source_divergence, token_counts, token_files, toxicity
 from keyflow.llm.common import fold_of, table
 from keyflow.session import scratch_path
 
@@ -66,6 +66,15 @@ def op10_near_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_copies.classes(table(spark, sf_dir, "documents"))
 
 
+def op11_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = fold_of(F.col("doc_id"), 5) == 0
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"), ~held_out)
+    return toxicity.predict(docs.select("doc_id", "text"), model).select(
+        "doc_id", held_out.alias("held_out"), "score", "predicted", F.size("passages").alias("n_passages")
+    )
+
+
 def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return source_divergence.audit(table(spark, sf_dir, "documents"))
 
@@ -88,6 +97,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_brown,
         op9_decontaminate,
         op10_near_copies,
+        op11_toxicity,
         op12_source_divergence,
         op13_hard_negatives,
     )
