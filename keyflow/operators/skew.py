@@ -13,6 +13,10 @@ from keyflow.session import scratch_path
 # every other key holds at most max(HEAVY_FLOOR, total / MAX_HEAVY_KEYS) rows.
 HEAVY_FLOOR = 100_000
 MAX_HEAVY_KEYS = 200_000
+# Keys that one sketch tracks; a fifth of them may be candidates.
+TRACKED_KEYS = 100_000
+# What is few for a hot key goes to so many places, its rows to one of them.
+SALTS = 64
 
 
 def heavy_keys(
@@ -33,6 +37,25 @@ def heavy_keys(
     return None if heavy.isEmpty() else heavy
 
 
+def frequent_keys(rows: DataFrame, key: str, floor: int = HEAVY_FLOOR, tracked: int = TRACKED_KEYS) -> DataFrame | None:
+    """The keys with more than ``floor`` rows as a one-column table, or None without any.
+
+    One sketch over the key column names the candidates, without a shuffle and in memory that ``tracked`` bounds; their rows
+    are then counted exactly. The sketch is sure of every key with more than ``3.5 / tracked`` of all rows, so
+    a key that it misses has at most that share, and there are never more keys than it tracks.
+    """
+    spark = rows.sparkSession
+    sketch = F.expr(f"approx_top_k({key}, {tracked // 5}, {tracked})")
+    top = rows.filter(F.col(key).isNotNull()).agg(sketch.alias("top")).first()["top"] or []
+    names = [(entry["item"],) for entry in top if entry["count"] > floor]
+    if not names:
+        return None
+    candidates = spark.createDataFrame(names, T.StructType([rows.schema[key]]))
+    counts = rows.select(key).join(F.broadcast(candidates), key).groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+    found = [(row[key],) for row in counts.filter(F.col("n") > floor).collect()]
+    return spark.createDataFrame(found, T.StructType([rows.schema[key]])) if found else None
+
+
 def split_heavy(rows: DataFrame, heavy: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
     """Rows of heavy keys and all other rows; no shuffle."""
     small = F.broadcast(heavy)

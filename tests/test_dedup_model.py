@@ -115,6 +115,79 @@ def test_lookup_join_equals_left_join(spark, floor):
     assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
 
 
+def test_frequent_keys_are_counted_exactly(spark):
+    frame = spark.range(3000).select(
+        F.when(F.col("id") < 1000, "hot").when(F.col("id") < 1101, "warm").when(F.col("id") < 1201, "just").otherwise(F.concat(F.lit("k"), F.col("id"))).alias("k")
+    )
+    assert sorted(r.k for r in skew.frequent_keys(frame, "k", floor=100).collect()) == ["hot", "warm"]
+    assert skew.frequent_keys(frame, "k", floor=1000) is None
+    assert skew.frequent_keys(frame.limit(0), "k", floor=0) is None
+    assert skew.frequent_keys(frame.select(F.lit(None).cast("string").alias("k")), "k", floor=0) is None
+
+
+def minutes_log(spark, minutes, per_minute=1):
+    """One key, a record every minute or more often, each at a place of its own."""
+    step = 60 // per_minute
+    start = F.lit("2024-01-01").cast("timestamp")
+    return spark.range(minutes * per_minute).select(
+        F.lit("t").alias("topic"), F.lit(0).alias("partition"), F.col("id").alias("offset"),
+        F.timestamp_micros(F.unix_micros(start) + F.col("id") * step * 1_000_000).alias("arrival_ts"), F.lit("k").alias("dedup_key"), F.lit("x").alias("payload"),
+    )
+
+
+def test_a_ttl_of_a_minute_over_thirty_days(spark):
+    """43,200 accepted rows in a chain: the rounds grow with the logarithm, not with the chain."""
+    minutes = 30 * 24 * 60
+    marked = dedup.ttl_dedup(minutes_log(spark, minutes, 2), "1 minute", floor=1000).cache()
+    row = marked.agg(F.count("*"), F.sum(F.col("accepted").cast("int")), F.min(F.when(F.col("accepted"), F.col("offset") % 2 == 0))).first()
+    assert tuple(row) == (2 * minutes, minutes, True)
+    assert marked.filter("NOT accepted AND dedup_reason <> 'idempotency-key'").isEmpty()
+
+
+@pytest.mark.parametrize("ttl, marks, remembered", [("1 minute", 0, True), ("7 minutes", 200_000, False), ("90 minutes", 0, True)])
+def test_jumps_and_fold_agree_at_any_ttl(spark, monkeypatch, ttl, marks, remembered):
+    rng = random.Random(ttl)
+    rows = [(rng.randrange(4), rng.randrange(30), rng.randrange(0, 7200), rng.choice("abc")) for _ in range(600)]
+    rows += [(0, 7, 600, "a")] * 40
+    frame = spark.createDataFrame([("t", p, o, t, k) for p, o, t, k in rows], "topic string, partition int, offset bigint, t bigint, dedup_key string")
+    frame = frame.select("topic", "partition", "offset", F.timestamp_seconds(F.col("t") + 1_704_067_200).alias("arrival_ts"), "dedup_key")
+    seen = frame.filter("offset = 3").groupBy("dedup_key").agg(*[F.first(c).alias(c) for c in ("arrival_ts", "partition", "offset", "topic")])
+    memory = seen if remembered else None
+    monkeypatch.setattr(dedup, "MAX_BROADCAST_MARKS", marks)
+    fold, jump = dedup.ttl_dedup(frame, ttl, memory), dedup.ttl_dedup(frame, ttl, memory, floor=50)
+    assert fold.exceptAll(jump).isEmpty() and fold.count() == jump.count() == len(rows)
+
+
+def test_fold_carries_state_across_batches(spark):
+    setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    frame = minutes_log(spark, 300)
+    whole = dedup.ttl_dedup(frame, "7 minutes")
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "7")
+    try:
+        assert [r.offset for r in dedup.ttl_dedup(frame, "7 minutes").filter("accepted").orderBy("offset").collect()] == list(range(0, 300, 7))
+    finally:
+        spark.conf.set(setting, before)
+    assert [r.offset for r in whole.filter("accepted").orderBy("offset").collect()] == list(range(0, 300, 7))
+
+
+def test_filters_do_not_move_below_the_fold(spark):
+    marked = dedup.ttl_dedup(minutes_log(spark, 60), "7 minutes")
+    assert [r.offset for r in marked.filter("offset > 9 AND accepted").orderBy("offset").collect()][:2] == [14, 21]
+
+
+def test_one_shuffle_carries_the_payload(spark, tmp_path):
+    """Two scans (one of them the key sketch), one exchange, one sort."""
+    minutes_log(spark, 60).write.parquet(str(tmp_path / "log"))
+    log = spark.read.parquet(str(tmp_path / "log"))
+    plan = dedup.ttl_dedup(log)._jdf.queryExecution().executedPlan().toString()
+    plan = plan.split("== Initial Plan ==")[-1]
+    assert plan.count("FileScan") == 1 and plan.count("Exchange") == 1 and plan.count("Sort [") == 1
+    narrow = dedup.ttl_dedup(log).select("offset", "accepted")._jdf.queryExecution().executedPlan().toString()
+    assert "payload" not in narrow
+    assert "accepted" in log.transform(dedup.ttl_dedup).columns
+
+
 def test_ttl_text():
     assert dedup.ttl_micros("7 days") == 604_800_000_000
     assert dedup.ttl_micros("1 hour") == 3_600_000_000
