@@ -5,7 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from keyflow import schemas as S
@@ -16,12 +16,15 @@ from keyflow.operators.publish import outbound_records, publishable
 from keyflow.operators.upsert import latest_per_customer
 from keyflow.plans.outcomes import build_outcomes
 from keyflow.session import scratch_run
+from keyflow.sources.manifests import Manifests
+from keyflow.sources.memory import KeyMemory
 from keyflow.sources.tables import (
+    BUCKETS,
     SnapshotTable,
     merge_into,
     read_batch,
-    read_batches,
     read_if_present,
+    read_range,
     to_kafka_rows,
     write_batch,
     write_kafka,
@@ -32,7 +35,7 @@ from keyflow.sources.tables import (
 class Target:
     """Where a pipeline writes, and how it publishes.
 
-    The snapshot is rewritten by every merge; with small batches ``merge_every`` lets several batches
+    A merge rewrites the snapshot's ``buckets`` that it touches; with small batches ``merge_every`` lets several batches
     share one. Nothing is lost in between: a merge takes all batches the snapshot does not have yet.
     With ``customers``, the name of a catalog table that supports MERGE, each batch changes only the
     documents it has.
@@ -47,26 +50,46 @@ class Target:
     kafka_options: dict[str, str] | None = None
     merge_every: int = 1
     customers: str | None = None
+    buckets: int = BUCKETS
 
     def table(self, name: str) -> str:
         return f"{self.path.rstrip('/')}/{name}"
 
     def snapshot(self, spark: SparkSession) -> SnapshotTable:
-        return SnapshotTable(spark, self.table("customers"))
+        return SnapshotTable(spark, self.table("customers"), buckets=self.buckets)
+
+    def memory(self, spark: SparkSession) -> KeyMemory:
+        return KeyMemory(spark, self.table("memory"), ttl_micros(self.ttl))
 
 
 def remembered_keys(
     spark: SparkSession, target: Target, batch_id: int, envelopes: DataFrame
 ) -> DataFrame | None:
-    """Keys accepted by earlier batches that can still matter to this one; None before the first."""
-    log = read_if_present(spark, target.table("outcome_log"), S.OUTCOME)
-    if log is None:
-        return None
+    """Keys accepted by earlier batches that can still matter to this one; None without any.
+
+    They come from the key memory, which first takes over batches of the outcome log that it has not seen. Only a batch so
+    old that the memory's state before it is gone reads them from the outcome log.
+    """
+    memory = target.memory(spark)
+    state = memory.state_before(batch_id)
+    if state is not None:
+        unseen = read_range(spark, target.table("outcome_log"), S.OUTCOME, state[0] + 1, batch_id - 1)
+        if unseen is not None:
+            memory.add(batch_id - 1, unseen.filter(F.col("outcome") == S.PROCESSED))
+            state = memory.state_before(batch_id)
+        if not state[1]:
+            return None
     oldest = envelopes.agg(F.min(F.unix_micros("arrival_ts"))).first()[0]
-    earlier = log.filter((F.col("batch_id") < batch_id) & (F.col("outcome") == S.PROCESSED))
-    if oldest is not None:
-        alive = F.timestamp_micros(F.lit(oldest - ttl_micros(target.ttl)))
-        earlier = earlier.filter(F.col("arrival_ts") > alive)
+    alive_us = None if oldest is None else oldest - ttl_micros(target.ttl)
+    if state is not None:
+        earlier = memory.read(state[1], alive_us)
+    else:
+        log = read_if_present(spark, target.table("outcome_log"), S.OUTCOME)
+        earlier = log and log.filter((F.col("batch_id") < batch_id) & (F.col("outcome") == S.PROCESSED))
+    if earlier is None:
+        return None
+    if alive_us is not None:
+        earlier = earlier.filter(F.col("arrival_ts") > F.timestamp_micros(F.lit(alive_us)))
     return seen_keys(earlier)
 
 
@@ -94,12 +117,10 @@ def merge_pending(
 ) -> bool:
     """Bring the snapshot up to a batch from the outcome log; False if it is already there."""
     snapshot = target.snapshot(spark)
-    log = read_batches(spark, target.table("outcome_log"), S.OUTCOME)
-    pending = log.filter(
-        (F.col("batch_id") > snapshot.current())
-        & (F.col("batch_id") <= batch_id)
-        & (F.col("outcome") == S.PROCESSED)
-    )
+    log = read_range(spark, target.table("outcome_log"), S.OUTCOME, snapshot.current() + 1, batch_id)
+    if log is None:
+        return False
+    pending = log.filter(F.col("outcome") == S.PROCESSED)
     return snapshot.merge(latest_per_customer(pending, processed_at), batch_id)
 
 
@@ -113,6 +134,21 @@ def replay_rows(quarantine: DataFrame) -> DataFrame:
     return quarantine.select(*S.ENVELOPE.names)
 
 
+def write_outcomes(spark: SparkSession, target: Target, outcomes: DataFrame, batch_id: int) -> None:
+    """Land a batch in the outcome log; the write counts the outcomes on its way, and they are kept for ``live_counts``."""
+    seen = Observation()
+    counts = [F.count_if(F.col("outcome") == outcome).alias(outcome) for outcome in S.OUTCOMES]
+    write_batch(outcomes.observe(seen, *counts), target.table("outcome_log"), batch_id)
+    Manifests(spark, target.table("counters")).write(batch_id, {"batch_id": batch_id, **seen.get})
+
+
+def live_counts(spark: SparkSession, target: Target) -> DataFrame:
+    """``batch_id, outcome, records`` of every batch that has landed; reads no record."""
+    schema = ", ".join(f"{name} bigint" for name in ("batch_id", *S.OUTCOMES))
+    counted = spark.read.schema(schema).json(target.table("counters"))
+    return counted.unpivot("batch_id", list(S.OUTCOMES), "outcome", "records").filter("records > 0")
+
+
 def run_batch(
     spark: SparkSession, envelopes: DataFrame, target: Target, batch_id: int, processed_at: datetime
 ) -> None:
@@ -120,5 +156,7 @@ def run_batch(
     with scratch_run(spark):
         seen = remembered_keys(spark, target, batch_id, envelopes)
         outcomes = build_outcomes(envelopes, target.ttl, seen, batch_id)
-        write_batch(outcomes, target.table("outcome_log"), batch_id)
+        write_outcomes(spark, target, outcomes, batch_id)
+        log = read_batch(spark, target.table("outcome_log"), S.OUTCOME, batch_id)
+        target.memory(spark).add(batch_id, log.filter(F.col("outcome") == S.PROCESSED))
         write_sinks(spark, target, batch_id, processed_at)

@@ -10,10 +10,10 @@ from pyspark.sql.streaming import StreamingQuery
 
 from keyflow import schemas as S
 from keyflow.operators.classify import failed_rows, marked_outcome, valid_rows, with_dedup_key
-from keyflow.plans.batch import Target, merge_pending, run_batch, write_sinks
+from keyflow.plans.batch import Target, merge_pending, run_batch, write_outcomes, write_sinks
 from keyflow.plans.outcomes import outcome_columns
 from keyflow.session import scratch_run
-from keyflow.sources.tables import read_if_present, write_batch
+from keyflow.sources.tables import read_if_present
 from keyflow.streaming.dedup_state import stream_ttl_dedup, use_state_store
 
 
@@ -57,7 +57,7 @@ def start_stream(
         if memory == "log":
             run_batch(session, batch, target, batch_id, when)
         else:
-            write_batch(batch, target.table("outcome_log"), batch_id)
+            write_outcomes(session, target, batch, batch_id)
             with scratch_run(session):
                 write_sinks(session, target, batch_id, when)
 
