@@ -14,8 +14,9 @@ from keyflow.functions.trace import extract_context, with_span
 from keyflow.operators import classify, dedup, flags, publish, reports, upsert
 from keyflow.operators.skew import lookup_join
 from keyflow.plans.batch import Target, quarantine_rows, replay_rows, run_batch
+from keyflow.plans.batch import live_counts as batch_counts
 from keyflow.plans.outcomes import build_outcomes
-from keyflow.plans.testlog import flag_rules, inbound_log, landed_log, old_snapshot, unplaced_log
+from keyflow.plans.testlog import flag_history, flag_rules, inbound_log, landed_log, old_snapshot, unplaced_log
 from keyflow.session import scratch_path, use_utc
 from keyflow.sources.codecs import decode, encode
 from keyflow.sources.envelopes import read_log, stream_log
@@ -205,6 +206,17 @@ def flag_evaluation(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def flag_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The publishing flag as it was when each record came in, with both ways of joining the rules' history."""
+    rows, history = _log(spark, sf_dir), flag_history(spark)
+    ways = {"broadcast": {}, "sorted": {"max_broadcast": 0, "floor": HEAVY_ROWS}}
+    views = []
+    for way, limits in ways.items():
+        flagged = flags.customer_flag_at(rows, history, S.OUTBOUND_FLAG, S.OUTBOUND_FLAG_DEFAULT, **limits)
+        views.append(_place(flagged).select(*PLACE, "flag_enabled", F.lit(way).alias("way")))
+    return reduce(DataFrame.unionByName, views)
+
+
 def flag_app_scope(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = flag_rules(spark)
     offline = flags.FlagSettings(sdk_key=S.PLACEHOLDER_SDK_KEY)
@@ -377,6 +389,16 @@ def stream_bounded(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _outcome_view(read_batches(spark, target.table("outcome_log"), S.OUTCOME))
 
 
+def live_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the counters of a bounded stream and of a stream with keyed state say, summed over their micro-batches."""
+    views = []
+    for memory, bound in (("log", {"max_files": FILES_PER_BATCH}), ("state", {})):
+        target = _drain(spark, _log(spark, sf_dir), memory, **bound)
+        totals = batch_counts(spark, target).groupBy("outcome").agg(F.sum("records").alias("records"))
+        views.append(totals.withColumn("memory", F.lit(memory)))
+    return reduce(DataFrame.unionByName, views)
+
+
 def dedup_ttl_heavy(spark: SparkSession, sf_dir: str) -> DataFrame:
     """TTL dedup with keys taken for heavy from a few rows on: the walk over blocks gives what the fold gives."""
     rows = classify.valid_rows(classify.with_dedup_key(_log(spark, sf_dir)))
@@ -446,6 +468,7 @@ QUERIES = {
         customer_lookup,
         snapshot_merge,
         flag_evaluation,
+        flag_as_of,
         flag_app_scope,
         outbound_processed,
         outbound_messages,
@@ -463,6 +486,7 @@ QUERIES = {
         stream_outcomes,
         stream_backfill,
         stream_bounded,
+        live_counts,
         dedup_ttl_heavy,
         unplaced_records,
         redelivery_repeat,

@@ -273,6 +273,17 @@ contexts AS (SELECT *, CASE WHEN regexp_matches(customer_id, '\\S') THEN custome
         f"SELECT {_PLACE}, context_key, {_bucket('context_key')} AS bucket, "
         f"{_enabled('context_key')} AS flag_enabled FROM contexts",
     ),
+    "flag_as_of": _with(
+        f"""{_LOG},
+contexts AS (SELECT *, CASE WHEN regexp_matches(customer_id, '\\S') THEN customer_id ELSE 'anonymous' END AS context_key,
+  make_timestamp(arrival_us) AS instant FROM log)""",
+        f"""SELECT {_PLACE}, CASE
+  WHEN context_key = '7' THEN instant >= '2024-01-10'
+  WHEN try_cast(context_key AS BIGINT) % 5 = 0 AND instant >= '2024-01-12' AND instant < '2024-01-20' THEN true
+  WHEN instant >= '2024-01-25' OR instant < '2024-01-03' THEN true
+  ELSE {_bucket('context_key')} < CASE WHEN instant >= '2024-01-15' THEN 5000 ELSE 9000 END END AS flag_enabled, way
+FROM contexts CROSS JOIN (VALUES ('broadcast'), ('sorted')) ways(way)""",
+    ),
     "flag_app_scope": _with(
         _LOG,
         f"SELECT {_PLACE}, true AS known_flag, false AS unknown_flag, false AS offline_flag FROM log",
@@ -333,6 +344,11 @@ contexts AS (SELECT *, CASE WHEN regexp_matches(customer_id, '\\S') THEN custome
     "stream_outcomes": _with(_MARKED, _OUTCOME_VIEW),
     "stream_backfill": _with(_MARKED, _OUTCOME_VIEW),
     "stream_bounded": _with(_MARKED, _OUTCOME_VIEW),
+    "live_counts": _with(
+        _MARKED,
+        "SELECT outcome, count(*) AS records, memory FROM outcomes "
+        "CROSS JOIN (VALUES ('log'), ('state')) memories(memory) GROUP BY outcome, memory",
+    ),
     "dedup_ttl_heavy": _with(_MARKED, f"SELECT {_PLACE}, dedup_key, accepted, dedup_reason FROM marked"),
     "unplaced_records": _with(
         _HOLES,

@@ -152,3 +152,21 @@ def flag_rules(spark: SparkSession) -> DataFrame:
         (S.OUTBOUND_FLAG, S.APPLICATION_CONTEXT, "keyflow", True, None),
     ]
     return spark.createDataFrame(rows, S.FLAG_RULES)
+
+
+def flag_history(spark: SparkSession) -> DataFrame:
+    """The rules of ``flag_rules`` as a history: customer 7 is off until the 10th, every fifth customer is on from the 12th
+    to the 20th whatever the rollout, and the rollout falls from 9000 to 5000 on the 15th and ends on the 25th."""
+    rows = [
+        (S.OUTBOUND_FLAG, S.CUSTOMER_CONTEXT, "7", False, None, "2024-01-01"),
+        (S.OUTBOUND_FLAG, S.CUSTOMER_CONTEXT, "7", True, None, "2024-01-10"),
+        (S.OUTBOUND_FLAG, S.CUSTOMER_CONTEXT, None, True, FLAG_ROLLOUT_BP, "2024-01-03"),
+        (S.OUTBOUND_FLAG, S.CUSTOMER_CONTEXT, None, True, 5000, "2024-01-15"),
+        (S.OUTBOUND_FLAG, S.CUSTOMER_CONTEXT, None, None, None, "2024-01-25"),
+    ]
+    schema = "flag_key string, context_kind string, context_key string, enabled boolean, rollout_bp int, valid_from string"
+    fifth = spark.range(0, 5 * FLAG_ROLLOUT_BP, 5).select(F.col("id").cast("string").alias("context_key"))
+    spans = fifth.select("context_key", F.explode(F.map_from_arrays(F.array(F.lit("2024-01-12"), F.lit("2024-01-20")), F.array(F.lit(True), F.lit(None)))).alias("valid_from", "enabled"))
+    spans = spans.withColumns({"flag_key": F.lit(S.OUTBOUND_FLAG), "context_kind": F.lit(S.CUSTOMER_CONTEXT), "rollout_bp": F.lit(None).cast("int")})
+    both = spark.createDataFrame(rows, schema).unionByName(spans)
+    return both.withColumn("valid_from", F.col("valid_from").cast("timestamp")).select(*S.FLAG_HISTORY.names)

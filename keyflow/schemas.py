@@ -93,3 +93,4 @@ FLAG_RULES = struct(
     enabled="boolean",
     rollout_bp="int",
 )
+FLAG_HISTORY = T.StructType([*FLAG_RULES.fields, T.StructField("valid_from", T.TimestampType())])

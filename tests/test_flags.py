@@ -1,7 +1,7 @@
 import hashlib
 
 import pytest
-from conftest import envelope, log_of
+from conftest import day, envelope, log_of
 from pyspark.sql import functions as F
 
 from keyflow import schemas as S
@@ -85,3 +85,44 @@ def test_offline_over_columns(spark):
     frame = spark.createDataFrame(rows, "enabled boolean, sdk_key string, offline boolean, want boolean")
     got = flags.effective_offline(F.col("enabled"), F.col("sdk_key"), F.col("offline"))
     assert frame.filter(~got.eqNullSafe(F.col("want"))).isEmpty()
+
+
+HISTORY = [
+    (FLAG, "customer", "a", False, None, day(2)),
+    (FLAG, "customer", "a", True, None, day(4)),
+    (FLAG, "customer", "a", None, None, day(6)),
+    (FLAG, "customer", "a", True, None, day(8)),
+    (FLAG, "customer", "a", False, None, day(8)),
+    (FLAG, "customer", None, False, None, day(5)),
+    (FLAG, "customer", None, True, 0, day(7)),
+    (FLAG, "customer", "a", True, None, None),
+    ("other-flag", "customer", "a", False, None, day(0)),
+    (FLAG, "application", "a", False, None, day(0)),
+]
+WAYS = [{}, {"max_broadcast": 0}, {"max_broadcast": 0, "floor": 2}]
+
+
+def evaluate_at(spark, history, records, default=True, **options):
+    log = log_of(spark, [envelope(c, n, at or 0) for n, (c, at) in enumerate(records)])
+    log = log.withColumn("arrival_ts", F.when(F.col("offset").isin([n for n, (_, at) in enumerate(records) if at is not None]), F.col("arrival_ts")))
+    rows = flags.customer_flag_at(log, spark.createDataFrame(history, S.FLAG_HISTORY), FLAG, default, **options)
+    assert rows.columns == [*log.columns, "flag_enabled"]
+    return [row.flag_enabled for row in rows.orderBy("offset").collect()]
+
+
+@pytest.mark.parametrize("options", WAYS)
+def test_rules_hold_as_of_arrival(spark, options):
+    records = [("a", 1), ("a", 2), ("a", 3.9), ("a", 4), ("a", 6), ("a", 7), ("a", 8), ("b", 1), ("b", 5), ("b", 9), ("a", None), (None, 5.5), ("a", 3)]
+    want = [True, False, False, True, False, False, False, True, False, False, True, False, False]
+    assert evaluate_at(spark, HISTORY, records, **options) == want
+    assert evaluate_at(spark, [], records, **options) == [True] * len(records)
+    assert evaluate_at(spark, HISTORY, [], **options) == []
+
+
+@pytest.mark.parametrize("options", WAYS)
+def test_a_hot_customer_and_many_versions(spark, options):
+    history = [(FLAG, "customer", "hot", n % 2 == 0, None, day(n / 10)) for n in range(200)]
+    records = [("hot", n / 37) for n in range(500)] + [("cold", 1)]
+    want = [int(n / 37 * 10) % 2 == 0 for n in range(500)] + [True]
+    assert evaluate_at(spark, history, records, **options) == want
+    assert evaluate_at(spark, history, records, settings=flags.FlagSettings(offline=True)) == [True] * 501
