@@ -8,8 +8,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from keyflow import schemas as S
+from keyflow.functions import trace as trace_headers
 from keyflow.functions.keys import idempotency_key, offset_key
-from keyflow.functions.text import has_text, header_names, iso_instant, last_header, set_header
+from keyflow.functions.text import has_text, header_names, iso_instant, last_header, no_headers, set_header, set_headers
 from keyflow.functions.trace import extract_context, with_span
 from keyflow.operators import classify, dedup, flags, publish, reports, upsert
 from keyflow.operators.skew import lookup_join
@@ -325,6 +326,27 @@ def trace_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def trace_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Contexts in several B3 headers, with short ids, debug, not sampled, malformed: read, and written again by the child span."""
+    place = F.concat_ws("|", "topic", F.col("partition").cast("string"), F.col("offset").cast("string"))
+    form, trace, span = F.col("offset") % 4, F.md5(F.concat(F.lit("t|"), place)), F.substring(F.md5(F.concat(F.lit("s|"), place)), 1, 16)
+    values = {
+        trace_headers.B3_TRACE_ID: F.when(form == 1, F.substring(trace, 1, 16)).otherwise(trace),
+        trace_headers.B3_SPAN_ID: F.when(form == 3, F.substring(span, 1, 8)).otherwise(span),
+        trace_headers.B3_SAMPLED: F.when(form == 0, "1").when(form == 1, "0"),
+        trace_headers.B3_FLAGS: F.when(form == 2, "1"),
+        trace_headers.TRACEPARENT: F.when(form >= 2, F.concat(F.lit("00-"), F.md5(F.concat(F.lit("w|"), place)), F.lit("-"), span, F.lit("-01"))),
+    }
+    rows = _place(_log(spark, sf_dir)).withColumn("headers", set_headers(no_headers(), values))
+    spans = with_span(rows)
+    written = trace_headers.inject_context(*(F.col(x) for x in ("headers", "trace_id", "span_id", "sampled", "trace_state", "debug")))
+    spans = spans.withColumn("headers", written)
+    return spans.select(
+        *PLACE, "trace_id", "parent_span_id", "span_id", "sampled", "debug",
+        *(last_header(F.col("headers"), name).alias(alias) for name, alias in (("b3", "b3"), ("X-B3-Flags", "flags"), ("traceparent", "traceparent"))),
+    )
+
+
 def _arrival_slices(log: DataFrame, slices: int = SLICES) -> list[DataFrame]:
     """The log cut by arrival time, in order, into about equal slices; rows without one are in the first."""
     arrival = F.unix_micros("arrival_ts")
@@ -481,6 +503,7 @@ QUERIES = {
         outcome_counts,
         hot_keys,
         trace_columns,
+        trace_forms,
         batch_outcomes,
         batch_snapshot,
         stream_outcomes,

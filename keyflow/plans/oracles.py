@@ -339,6 +339,20 @@ FROM contexts CROSS JOIN (VALUES ('broadcast'), ('sorted')) ways(way)""",
         "'customer.ingest.process' AS span_name, "
         "'kafka|' || topic || '|' || partition || '|' || \"offset\" AS tags FROM spans",
     ),
+    "trace_forms": _with(
+        f"""{_LOG},
+placed AS (SELECT *, topic || '|' || partition || '|' || "offset" AS place_text, "offset" % 4 AS form FROM log),
+traced AS (
+  SELECT *, CASE WHEN form = 1 THEN lpad(substr(md5('t|' || place_text), 1, 16), 32, '0')
+                 WHEN form = 3 THEN md5('w|' || place_text) ELSE md5('t|' || place_text) END AS trace_id,
+         substr(md5('s|' || place_text), 1, 16) AS parent_span_id, form <> 1 AS sampled, form = 2 AS debug
+  FROM placed),
+spans AS (SELECT *, substr(sha256(trace_id || '|' || place_text), 1, 16) AS span_id FROM traced)""",
+        f"""SELECT {_PLACE}, trace_id, parent_span_id, span_id, sampled, debug,
+  trace_id || '-' || span_id || '-' || CASE WHEN debug THEN 'd' WHEN sampled THEN '1' ELSE '0' END AS b3,
+  CASE WHEN debug THEN '1' END AS flags,
+  '00-' || trace_id || '-' || span_id || '-0' || CASE WHEN sampled THEN '1' ELSE '0' END AS traceparent FROM spans""",
+    ),
     "batch_outcomes": _with(_MARKED, _OUTCOME_VIEW),
     "batch_snapshot": _with(f"{_LATEST}, {_OLD}", _MERGED.format(insert_old="", insert_new="")),
     "stream_outcomes": _with(_MARKED, _OUTCOME_VIEW),
