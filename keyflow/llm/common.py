@@ -134,12 +134,17 @@ def runs(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Table]:
 _kept: dict[str, dict[str, object]] = {}
 
 
-def kept_by_worker(operator: str, key: str, make):
-    """The object that a worker made under this key. Workers serve all operators of a session in turn, so what another
-    operator kept goes first, and memory doesn't add up over the stages of a pipeline."""
+def alone(operator: str) -> None:
+    """Drops what other operators kept. Workers serve all operators of a session in turn, so every Arrow function of an
+    operator begins with it, also of those that keep nothing: memory must not add up over the stages of a pipeline."""
     if operator not in _kept:
         _kept.clear()
         _kept[operator] = {}
+
+
+def kept_by_worker(operator: str, key: str, make):
+    """The object that a worker made under this key."""
+    alone(operator)
     own = _kept[operator]
     if key not in own:
         own[key] = make()

@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from keyflow.llm.common import Memo, bit_map, identified, mapped, small_batches, texts_of, unpacked
+from keyflow.llm.common import Memo, alone, bit_map, identified, mapped, small_batches, texts_of, unpacked
 from keyflow.llm.components import written
 
 TOKEN = re.compile(r"\w+")
@@ -47,6 +47,8 @@ MASKS = {
 #: Words that must be compared and the share of them that must agree; an item with fewer words is compared whole.
 OVERLAP_WORDS = 13
 OVERLAP_SHARE = 0.8
+#: Words whose hash a task remembers.
+WORD_ENTRIES = 200_000
 
 
 def tokens(text: str | None) -> list[str]:
@@ -81,7 +83,8 @@ def seed_table(texts: DataFrame, key: str, masks: dict[int, tuple[str, ...]], us
     of_docs = [(number, mask) for mask, number in numbers.items() if used is not None and number in used]
 
     def seeded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hash_of = Memo(xxhash.xxh64_intdigest)
+        alone("decontamination")
+        hash_of = Memo(xxhash.xxh64_intdigest, WORD_ENTRIES)
         known = unpacked(bits) if bits else None
         for batch in batches:
             found: list[tuple[np.ndarray, ...]] = []
@@ -143,6 +146,7 @@ def find(
     )
 
     def verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        alone("decontamination")
         for batch in batches:
             out = []
             for doc_id, item_id, shifts, item, text in zip(*(batch[x].to_pylist() for x in ("doc_id", "item_id", "shifts", "item", "text")), strict=True):

@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from keyflow.llm.common import WORD, Memo, identified, lowered, partitions, runs, small_batches, texts_of
+from keyflow.llm.common import WORD, Memo, alone, identified, lowered, partitions, runs, small_batches, texts_of
 from keyflow.llm.components import components, written
 
 SHINGLE_WORDS = 5
@@ -34,6 +34,8 @@ TOKENS = 64
 TREES = 8
 #: A node with more documents branches again, by so many tokens, at most so many times.
 NODE_DOCS = 4096
+#: Words whose hash a task remembers.
+WORD_ENTRIES = 200_000
 BRANCHES = 3
 LEVELS = 2
 #: How many standard errors the agreement of tokens may fall short of the similarity.
@@ -77,7 +79,8 @@ def sketches(docs: DataFrame) -> DataFrame:
     """``doc_id, n_shingles, key, tokens``: ``key`` is the same for texts with the same words."""
 
     def sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hash_of = Memo(xxhash.xxh64_intdigest).__getitem__
+        alone("near copies")
+        hash_of = Memo(xxhash.xxh64_intdigest, WORD_ENTRIES).__getitem__
         for batch in batches:
             sizes, keys, tokens = [], [], []
             for text in batch["text"].to_pylist():
@@ -176,6 +179,7 @@ def proposals(members: DataFrame, texts: DataFrame, similarity: int) -> DataFram
     agreement = least_agreement(similarity)
 
     def proposed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        alone("near copies")
         for table in runs(batches, "node"):
             ids, sizes, tokens = sketch_rows(table)
             pairs = set()
@@ -199,7 +203,8 @@ def confirmed(pairs: DataFrame, full: DataFrame, similarity: int) -> DataFrame:
     """The pairs whose full sets are that similar."""
 
     def checked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hash_of = Memo(xxhash.xxh64_intdigest).__getitem__
+        alone("near copies")
+        hash_of = Memo(xxhash.xxh64_intdigest, WORD_ENTRIES).__getitem__
         for batch in batches:
             sets = [[shingles(words_of(text), hash_of) for text in batch[x].to_pylist()] for x in ("text_a", "text_b")]
             yield batch.select(["a", "b"]).filter(pa.array([linked(x, y, similarity) for x, y in zip(*sets, strict=True)], pa.bool_()))
@@ -214,6 +219,7 @@ def apart(members: DataFrame, texts: DataFrame, similarity: int) -> DataFrame:
     agreement = least_agreement(similarity)
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        alone("near copies")
         for table in runs(batches, "node"):
             ids, sizes, tokens = sketch_rows(table)
             roots, open_rows = table["root"].to_numpy(), set()
@@ -236,7 +242,8 @@ def bridges(rows: DataFrame, full: DataFrame, similarity: int) -> DataFrame:
     agreement = least_agreement(similarity)
 
     def joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hash_of = Memo(xxhash.xxh64_intdigest).__getitem__
+        alone("near copies")
+        hash_of = Memo(xxhash.xxh64_intdigest, WORD_ENTRIES).__getitem__
         for table in runs(batches, "node"):
             ids, sizes, tokens = sketch_rows(table)
             sets = [shingles(words_of(text), hash_of) for text in table["text"].to_pylist()]

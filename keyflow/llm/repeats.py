@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from keyflow.llm.common import partitions, small_batches
+from keyflow.llm.common import alone, partitions, small_batches
 
 WINDOW = 100
 GRAM = 32
@@ -399,15 +399,19 @@ def remove(docs: DataFrame, group_rows: int = GROUP_ROWS, as_text: bool = False)
     empty = to_arrow_schema(spark.createDataFrame([], schema).schema).empty_table()
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        alone("repeats")
         return hashes_of(batches, buckets)
 
     def sorted_runs(key: tuple, block: pa.Table, repeated: pa.Table) -> pa.Table:
+        alone("repeats")
         return runs_of(block, repeated, buckets, group_rows)
 
     def merged(key: tuple, table: pa.Table) -> pa.Table:
+        alone("repeats")
         return merge(table, buckets)
 
     def cut_out(key: tuple, block: pa.Table, spans: pa.Table) -> pa.Table:
+        alone("repeats")
         return cut(block, spans, names, as_text) if block.num_rows else empty
 
     hashes = blocks.mapInArrow(hashed, "bucket long, block long, hashes binary, counts binary")
