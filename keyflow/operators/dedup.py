@@ -17,7 +17,6 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.functions import ArrowUDFType
 
 from keyflow import schemas as S
 from keyflow.operators.numbering import staged_numbers
@@ -161,7 +160,7 @@ def _fold(micros: int):
                         at += 1
             yield pa.array(out)
 
-    return F.arrow_udf(marks, "tinyint", ArrowUDFType.SCALAR_ITER).asNondeterministic()
+    return F.arrow_udf(marks, "tinyint").asNondeterministic()
 
 
 def _mark(rows: DataFrame, first_copy: Column, last: Column) -> DataFrame:

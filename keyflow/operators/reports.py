@@ -58,6 +58,6 @@ def outcome_counts(log: DataFrame) -> DataFrame:
 
 def hot_customers(log: DataFrame, window: str = S.LOCK_WINDOW) -> DataFrame:
     """Customers with more than one record in a window: those that would queue for one lock."""
-    slot = F.window("arrival_ts", window)["start"]
-    grouped = log.groupBy(F.col("event.customerId").alias("customerId"), slot.alias("window_start"))
-    return grouped.agg(F.count(F.lit(1)).alias("records")).filter("records > 1")
+    slot = F.window("arrival_ts", window).alias("_window")
+    counts = log.groupBy(F.col("event.customerId").alias("customerId"), slot).agg(F.count(F.lit(1)).alias("records"))
+    return counts.filter("records > 1").select("customerId", F.col("_window.start").alias("window_start"), "records")

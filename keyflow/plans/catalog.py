@@ -6,6 +6,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from keyflow import schemas as S
 from keyflow.functions import trace as trace_headers
@@ -22,6 +23,7 @@ from keyflow.session import scratch_path, use_utc
 from keyflow.sources.codecs import decode, encode
 from keyflow.sources.envelopes import read_log, stream_log
 from keyflow.sources.tables import read_batches
+from keyflow.streaming import live
 from keyflow.streaming.pipeline import run_stream
 
 PROCESSED_AT = "2024-02-15 00:00:00"
@@ -411,6 +413,36 @@ def stream_bounded(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _outcome_view(read_batches(spark, target.table("outcome_log"), S.OUTCOME))
 
 
+def _finish(query: StreamingQuery) -> StreamingQuery:
+    try:
+        query.awaitTermination()
+    finally:
+        query.stop()
+    return query
+
+
+def stream_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The old snapshot kept up to date by a stream over the outcome log, some files at a time."""
+    target = Target(scratch_path(use_utc(spark), "documents"), flag_rules(spark))
+    build_outcomes(_log(spark, sf_dir)).drop("batch_id").write.parquet(f"{target.table('outcome_log')}/batch_id=0")
+    snapshot = target.snapshot(spark)
+    snapshot.replace(old_snapshot(spark, sf_dir), 0)
+    outcomes = live.stream_outcome_log(spark, target.table("outcome_log"), FILES_PER_BATCH * 2)
+    _finish(live.start_documents(outcomes, snapshot, target.table("checkpoint"), PROCESSED_AT))
+    return _documents(snapshot.read())
+
+
+def live_hot_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``hot_keys`` as a stream over the landed log with windows that stay open long enough for all records."""
+    path = scratch_path(use_utc(spark), "hot")
+    _land(_log(spark, sf_dir), f"{path}/landing")
+    records = classify.valid_rows(stream_log(spark, f"{path}/landing"))
+    _finish(live.start_hot_customers(records, f"{path}/counts", f"{path}/checkpoint", "1 hour", "60 days"))
+    return live.hot_so_far(spark, f"{path}/counts").select(
+        F.col("customerId").alias("customer_id"), F.unix_micros("window_start").alias("window_start_us"), "records"
+    )
+
+
 def live_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the counters of a bounded stream and of a stream with keyed state say, summed over their micro-batches."""
     views = []
@@ -510,6 +542,8 @@ QUERIES = {
         stream_backfill,
         stream_bounded,
         live_counts,
+        stream_snapshot,
+        live_hot_keys,
         dedup_ttl_heavy,
         unplaced_records,
         redelivery_repeat,

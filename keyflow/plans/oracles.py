@@ -333,6 +333,11 @@ FROM contexts CROSS JOIN (VALUES ('broadcast'), ('sorted')) ways(way)""",
         "SELECT customer_id, arrival_us // 3600000000 * 3600000000 AS window_start_us, "
         "count(*) AS records FROM log WHERE failure IS NULL GROUP BY 1, 2 HAVING count(*) > 1",
     ),
+    "live_hot_keys": _with(
+        _LOG,
+        "SELECT customer_id, arrival_us // 3600000000 * 3600000000 AS window_start_us, "
+        "count(*) AS records FROM log WHERE failure IS NULL GROUP BY 1, 2 HAVING count(*) > 1",
+    ),
     "trace_columns": _with(
         f"{_LOG}, {_SPANS.format(source='log')}",
         f"SELECT {_PLACE}, trace_id, parent_span_id, span_id, true AS sampled, "
@@ -355,6 +360,7 @@ spans AS (SELECT *, substr(sha256(trace_id || '|' || place_text), 1, 16) AS span
     ),
     "batch_outcomes": _with(_MARKED, _OUTCOME_VIEW),
     "batch_snapshot": _with(f"{_LATEST}, {_OLD}", _MERGED.format(insert_old="", insert_new="")),
+    "stream_snapshot": _with(f"{_LATEST}, {_OLD}", _MERGED.format(insert_old="", insert_new="")),
     "stream_outcomes": _with(_MARKED, _OUTCOME_VIEW),
     "stream_backfill": _with(_MARKED, _OUTCOME_VIEW),
     "stream_bounded": _with(_MARKED, _OUTCOME_VIEW),
