@@ -31,6 +31,8 @@ LIBRARY_SPLIT = pre_tokenizers.ByteLevel(add_prefix_space=False)
 RUN_OF_SPACE = regex.compile(r"\s ")
 CHUNK = regex.compile(r"\s*\S+|\s+")
 TABLE_ENTRIES = 1_000_000
+#: Ids whose labels are gathered at once.
+PIECE_IDS = 1 << 20
 #: Below this code point the classes of letters, digits and spaces are the same in all versions of Unicode in use.
 SETTLED = "\u0530"
 
@@ -95,6 +97,7 @@ class Automaton:
     def grow_tree(self) -> None:
         """The tokens' bytes as a tree, to find the arcs that can follow at a position. Below -1: the token."""
         self.tree: dict = {}
+        self.longest = max((len(self.labels[number]) for number in self.born), default=0)
         for number in self.born:
             node = self.tree
             for byte in self.labels[number]:
@@ -108,11 +111,11 @@ class Automaton:
         left for good and no position is tried twice.
         """
         data = word.encode("utf-8", "replace")
-        size, tree, table, ids = len(data), self.tree, self.table, self.ids
+        size, tree, table, ids, longest = len(data), self.tree, self.table, self.ids, self.longest
         path, ways, closed, at, state = [], [], set(), 0, -1
         while at < size:
             node, found = tree, []
-            for byte in data[at:] if at else data:
+            for byte in data[at : at + longest]:
                 node = node.get(byte)
                 if node is None:
                     break
@@ -170,10 +173,47 @@ def text_of(labels: dict[int, bytes], ids: list[int]) -> str:
     return data.decode("utf-8", "replace")
 
 
-def labels_in(path: str) -> dict[int, bytes]:
-    def read() -> dict[int, bytes]:
+class Labels:
+    """The bytes of all tokens in one row, gathered for many ids at once."""
+
+    def __init__(self, labels: dict[int, bytes]):
+        size = max(labels, default=-1) + 2
+        self.lengths = np.zeros(size, np.int64)
+        self.lengths[list(labels)] = [len(label) for label in labels.values()]
+        self.starts = np.cumsum(self.lengths) - self.lengths
+        self.bytes = np.frombuffer(b"".join(labels.get(number, b"") for number in range(size)), np.uint8)
+
+    def joined(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The labels of the ids one after the other, and where each one ends. Unknown ids have the empty last label."""
+        known = (ids >= 0) & (ids < len(self.lengths))
+        ids = ids if known.all() else np.where(known, ids, len(self.lengths) - 1)
+        lengths = self.lengths[ids]
+        ends = np.cumsum(lengths)
+        total = int(ends[-1]) if len(ends) else 0
+        return self.bytes[np.repeat(self.starts[ids] - (ends - lengths), lengths) + np.arange(total)], ends
+
+    def texts(self, ids: np.ndarray, offsets: np.ndarray) -> list[str]:
+        """The text of each stretch of ids; a stretch of any length is gathered piece by piece."""
+        out: list[str] = []
+        row, last = 0, len(offsets) - 1
+        while row < last:
+            begin, upto = int(offsets[row]), max(row + 1, int(np.searchsorted(offsets, offsets[row] + PIECE_IDS, "right")) - 1)
+            if upto > row + 1 or offsets[upto] - begin <= PIECE_IDS:
+                data, ends = self.joined(ids[begin : int(offsets[upto])])
+                ends = np.concatenate([[0], ends])[offsets[row : upto + 1] - begin].tolist()
+                data = data.tobytes()
+                out += [data[a:b].decode("utf-8", "replace") for a, b in zip(ends[:-1], ends[1:], strict=True)]
+            else:
+                pieces = [self.joined(ids[at : min(at + PIECE_IDS, int(offsets[upto]))])[0] for at in range(begin, int(offsets[upto]), PIECE_IDS)]
+                out.append(b"".join(piece.tobytes() for piece in pieces).decode("utf-8", "replace"))
+            row = upto
+        return out
+
+
+def labels_in(path: str) -> Labels:
+    def read() -> Labels:
         with open(path, encoding="utf-8") as file:
-            return labels_of(json.load(file))
+            return Labels(labels_of(json.load(file)))
 
     return kept_by_worker("bpe", f"labels {path}", read)
 
@@ -206,7 +246,8 @@ def decode(encoded: DataFrame, vocabulary: str) -> DataFrame:
     def decoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         labels = labels_in(vocabulary)
         for batch in batches:
-            texts = [text_of(labels, ids or []) for ids in batch["ids"].to_pylist()]
+            lists = batch["ids"].fill_null([]) if batch["ids"].null_count else batch["ids"]
+            texts = labels.texts(lists.values.fill_null(-1).to_numpy(), lists.offsets.to_numpy().astype(np.int64))
             yield pa.RecordBatch.from_arrays([batch["doc_id"], batch["ids"], pa.array(texts, pa.string())], ["doc_id", "ids", "text"])
 
     return encoded.select("doc_id", "ids").mapInArrow(decoded, "doc_id long, ids array<int>, text string")

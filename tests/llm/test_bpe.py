@@ -46,3 +46,23 @@ def test_bytes_that_are_no_text(spark):
     found = {r.doc_id: r.text for r in bpe.decode(rows, PATH).collect()}
     assert set(found[1]) == {"�"} or found[1]
     assert found[2] == "" and found[3] == ""
+
+
+def test_a_word_of_some_megabytes(spark, library):
+    """Time grows with the length; the library itself is slow there, so only what is decoded is compared."""
+    text = "abcxyz" * 600_000
+    found = bpe.decode(bpe.encode(docs_of(spark, [(1, text), (2, "é" * 5000)]), PATH), PATH).collect()
+    assert {r.doc_id: r.text for r in found} == {1: text, 2: "é" * 5000}
+    assert [r.ids for r in found if r.doc_id == 2] == [library.encode("é" * 5000, add_special_tokens=False).ids]
+
+
+@pytest.mark.parametrize("piece", [1, 3, 1 << 20])
+def test_labels_are_gathered_in_pieces(monkeypatch, piece):
+    import numpy as np
+
+    monkeypatch.setattr(bpe, "PIECE_IDS", piece)
+    labels = bpe.Labels({0: b"a", 1: "é".encode()[:1], 2: "é".encode()[1:], 5: b"xyz"})
+    rows = [[0, 1, 2], [], [1], [5, 5, 5, 5, 9, -1, 0], [1, 2, 1, 2, 3]]
+    offsets = np.concatenate([[0], np.cumsum([len(row) for row in rows])])
+    ids = np.array([x for row in rows for x in row], np.int32)
+    assert labels.texts(ids, offsets) == ["aé", "", "\ufffd", "xyzxyzxyzxyza", "éé"]
