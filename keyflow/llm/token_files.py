@@ -9,7 +9,9 @@ comes from a read of the counts alone.
 
 from __future__ import annotations
 
+import re
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -18,6 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from keyflow.llm.bpe import byte_of_symbol
 from keyflow.llm.common import CACHE_ENTRIES, identified, kept_by_worker, list_array, partitions, small_batches
 
 END_ID = 1
@@ -27,10 +30,18 @@ PAGE_BYTES = 256 << 10
 CALL_CHARS = 60_000
 
 
+#: Letters whose lower case is one letter of the same range, in composed form as they are.
+LATIN = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+")
+#: Their bytes in the symbols of byte-level vocabularies.
+SYMBOL_OF = {byte: symbol for symbol, byte in byte_of_symbol().items()}
+SYMBOLS = {code: "".join(SYMBOL_OF[byte] for byte in chr(code).encode()) for code in range(128, 256)}
+
+
 class Pieces:
     """Ids of the parts of a text between spaces and line ends. These never join two tokens of a vocabulary that drops
     white space, so the ids of a text are those of its parts, and frequent parts are encoded once. A part's ids are
-    also those of its lower case, and a full stop or comma after a letter is a token of its own."""
+    also those of its lower case, and a full stop or comma after a letter is a token of its own. A part of Latin letters
+    passes the library's normalization and splits whole, so it goes to the library's model at once."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -38,6 +49,7 @@ class Pieces:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_padding()
         self.tokenizer.no_truncation()
+        self.model = self.tokenizer.model
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
         self.marks = {mark: np.array(self.tokenizer.encode(mark, add_special_tokens=False).ids, "<i4").tobytes() for mark in ".,"}
@@ -45,7 +57,11 @@ class Pieces:
     @staticmethod
     def reduced(part: str) -> tuple[str, str]:
         """A part with the same ids but for the mark that goes with it. Names of special tokens are left alone."""
-        if not part.isascii() or "<" in part:
+        if not part.isascii():
+            if part[-1:] in {".", ","} and LATIN.fullmatch(part, 0, len(part) - 1):
+                return part[:-1].lower(), part[-1]
+            return (part.lower() if LATIN.fullmatch(part) else part), ""
+        if "<" in part:
             return part, ""
         if part[-1:] in {".", ","} and part[-2:-1].isalpha():
             return part[:-1].lower(), part[-1]
@@ -70,7 +86,13 @@ class Pieces:
                 known[part] = ids + self.marks[mark] if mark else ids
         line: list[str] = []
         size = 0
-        for base in missing:
+        tokenize = self.model.tokenize
+        for base, parts_of in missing.items():
+            if LATIN.fullmatch(base):
+                own = known[base] = array("i", [token.id for token in tokenize(base if base.isascii() else base.translate(SYMBOLS))]).tobytes()
+                for part, mark in parts_of:
+                    known[part] = own + self.marks[mark] if mark else own
+                continue
             line.append(base)
             size += len(base) + 1
             if size > CALL_CHARS:
@@ -134,6 +156,7 @@ def write(docs: DataFrame, vocabulary: str, path: str, end_id: int = END_ID, id_
         .select("doc_id", "text")
         .mapInArrow(encoded, "doc_id long, place long, n_tokens long, ids array<int>")
         .write.mode("overwrite")
+        .option("maxRecordsPerFile", "0")
         .option("compression", "zstd")
         .option("parquet.writer.version", "PARQUET_2_0")
         .option("parquet.enable.dictionary", "true")
@@ -153,7 +176,8 @@ def file_starts(spark: SparkSession, path: str) -> DataFrame:
         .groupBy("file")
         .agg(F.sum("n_tokens").alias("in_file"))
     )
-    earlier = W.orderBy("file").rowsBetween(W.unboundedPreceding, -1)
+    number = F.regexp_extract("file", r"^part-(\d+)", 1).cast("long")
+    earlier = W.orderBy(number, "file").rowsBetween(W.unboundedPreceding, -1)
     return files.select("file", F.coalesce(F.sum("in_file").over(earlier), F.lit(0)).alias("first"))
 
 

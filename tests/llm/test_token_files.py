@@ -49,3 +49,28 @@ def test_empty_table(spark, tmp_path):
     path = str(tmp_path / "tokens")
     token_files.write(docs_of(spark, ODD).limit(0), PATH, path)
     assert token_files.read_tokens(spark, path).count() == 0
+
+
+def test_words_of_latin_letters_and_their_marks():
+    library, machine = Tokenizer.from_file(PATH), token_files.Pieces(PATH)
+    letters = [chr(c) for c in range(0xC0, 0x100)] + list("abcXYZ")
+    rng = np.random.default_rng(1)
+    words = letters + ["".join(rng.choice(letters, rng.integers(1, 12))) + mark for mark in ("", "", ".", ",", "...", "-") for _ in range(400)]
+    words += ["Straße", "ÉTÉ,", "naïve.", "é", "É́", "ŷes", "ĲSSEL", "İstanbul", "ΣΑΣ", "×", "÷a", "a" * 5000, "é" * 3000 + "."]
+    for word, found in zip(words, machine.encode(words), strict=True):
+        assert np.frombuffer(found, "<i4").tolist() == library.encode(word, add_special_tokens=False).ids, word
+    text = " ".join(words)
+    assert np.frombuffer(machine.encode([text])[0], "<i4").tolist() == library.encode(text, add_special_tokens=False).ids
+
+
+def test_starts_hold_under_a_limit_of_rows_per_file(spark, tmp_path):
+    path, setting = str(tmp_path / "tokens"), "spark.sql.files.maxRecordsPerFile"
+    spark.conf.set(setting, "7")
+    try:
+        token_files.write(docs_of(spark, [(n, "word " * (n % 5)) for n in range(100)]), PATH, path)
+    finally:
+        spark.conf.unset(setting)
+    start = 0
+    for row in token_files.read_tokens(spark, path).orderBy("doc_id").collect():
+        assert row.start == start
+        start += row.n_tokens
