@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
+from contextvars import copy_context
 from dataclasses import dataclass
 from datetime import datetime
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -93,23 +97,45 @@ def remembered_keys(
     return seen_keys(earlier)
 
 
-def write_sinks(spark: SparkSession, target: Target, batch_id: int, processed_at: datetime) -> None:
-    """Derive every other sink from one batch of the outcome log; safe to repeat.
+def together(*actions: Callable[[], object]) -> None:
+    """Run independent writes at the same time: each is a few small jobs, which leave most of a cluster idle one by one.
+
+    All of them end before an error of one is raised.
+    """
+    with ThreadPoolExecutor(len(actions)) as pool:
+        running = [pool.submit(copy_context().run, inheritable_thread_target(action)) for action in actions]
+    for action in running:
+        action.result()
+
+
+def write_sinks(
+    spark: SparkSession, target: Target, batch_id: int, processed_at: datetime, remember: bool = False
+) -> None:
+    """Derive every other sink from one batch of the outcome log, and with ``remember`` the key memory; safe to repeat.
 
     Publishing follows the durable log, so a failure in between repeats it instead of losing it.
     """
     log = read_batch(spark, target.table("outcome_log"), S.OUTCOME, batch_id)
-    write_batch(quarantine_rows(log), target.table("quarantine"), batch_id)
-    if target.customers is not None:
-        processed = log.filter(F.col("outcome") == S.PROCESSED)
-        merge_into(latest_per_customer(processed, processed_at), target.customers)
-    elif (batch_id + 1) % target.merge_every == 0:
-        merge_pending(spark, target, batch_id, processed_at)
-    records = outbound_records(publishable(log, target.rules, target.settings), processed_at)
-    if target.kafka_options is None:
-        write_batch(records, target.table("outbound"), batch_id)
-    else:
-        write_kafka(to_kafka_rows(records, target.codec, target.schema_id), target.kafka_options)
+    processed = log.filter(F.col("outcome") == S.PROCESSED)
+
+    def customers() -> None:
+        if target.customers is not None:
+            merge_into(latest_per_customer(processed, processed_at), target.customers)
+        elif (batch_id + 1) % target.merge_every == 0:
+            merge_pending(spark, target, batch_id, processed_at)
+
+    def outbound() -> None:
+        records = outbound_records(publishable(log, target.rules, target.settings), processed_at)
+        if target.kafka_options is None:
+            write_batch(records, target.table("outbound"), batch_id)
+        else:
+            write_kafka(to_kafka_rows(records, target.codec, target.schema_id), target.kafka_options)
+
+    def memory() -> None:
+        if remember:
+            target.memory(spark).add(batch_id, processed)
+
+    together(lambda: write_batch(quarantine_rows(log), target.table("quarantine"), batch_id), customers, outbound, memory)
 
 
 def merge_pending(
@@ -157,6 +183,4 @@ def run_batch(
         seen = remembered_keys(spark, target, batch_id, envelopes)
         outcomes = build_outcomes(envelopes, target.ttl, seen, batch_id)
         write_outcomes(spark, target, outcomes, batch_id)
-        log = read_batch(spark, target.table("outcome_log"), S.OUTCOME, batch_id)
-        target.memory(spark).add(batch_id, log.filter(F.col("outcome") == S.PROCESSED))
-        write_sinks(spark, target, batch_id, processed_at)
+        write_sinks(spark, target, batch_id, processed_at, remember=True)

@@ -19,7 +19,7 @@ from keyflow.sources.manifests import Manifests
 
 MISSING = "PATH_NOT_FOUND"
 #: Buckets of a new snapshot; one is rewritten as a whole by one task, so size them to some hundred MB.
-BUCKETS = 64
+BUCKETS = 16
 #: So many batch numbers are looked up one by one; a longer range lists the folders.
 FEW_BATCHES = 64
 
