@@ -3,7 +3,8 @@
 A log often holds a conversation several times, each time with more turns. Every turn gets a hash of its number, role
 and text; their running sums identify the prefix of a conversation that ends there, whatever conversation it is in. A
 conversation whose whole hash is a prefix of a longer one, or of an equal one with a smaller id, goes. Prefixes are
-reduced to one row per hash before they meet the conversations, so a prefix that very many share is one row too. Running
+reduced to one row per hash, map-side first, with the longest conversation that has it and the least one that ends there;
+so a prefix that very many share is one row, and those rows say themselves which conversations stay. Running
 sums are taken within blocks of turn numbers and added up over blocks, and a long conversation is rendered in parts, so no
 conversation has to fit one task.
 """
@@ -61,14 +62,11 @@ def maximal(turns: DataFrame, part_turns: int = PART_TURNS) -> DataFrame:
 
     A null id counts as one conversation, before all others.
     """
-    whole = turns.groupBy("conv_id").agg(*sums())
-    ends = whole.select(F.col("conv_id").alias("_conv"), F.col("_n").alias("_all"))
+    ends = turns.groupBy(F.col("conv_id").alias("_conv")).agg(F.count("*").alias("_all"))
     grown = prefixes(turns, part_turns).join(ends, F.col("conv_id").eqNullSafe(F.col("_conv")))
     alike = grown.groupBy(*SUMS).agg(F.max("_all").alias("_longest"), F.min(F.when(F.col("_all") == F.col("_n"), F.struct("conv_id"))).alias("_first"))
-    extended = alike.where(F.col("_longest") > F.col("_n")).select(*SUMS)
-    copies = alike.where(F.col("_first").isNotNull()).select(*SUMS, F.col("_first.conv_id").alias("_kept"))
-    alone = whole.join(extended, SUMS, "left_anti")
-    return alone.join(copies, SUMS).where(F.col("conv_id").eqNullSafe(F.col("_kept"))).select("conv_id", F.col("_n").alias("n_turns"))
+    ended = alike.where(F.col("_first").isNotNull() & (F.col("_longest") <= F.col("_n")))
+    return ended.select(F.col("_first.conv_id").alias("conv_id"), F.col("_n").alias("n_turns"))
 
 
 def render(conversations: DataFrame, part_turns: int = PART_TURNS) -> DataFrame:
@@ -95,17 +93,20 @@ def render(conversations: DataFrame, part_turns: int = PART_TURNS) -> DataFrame:
 
 SQL = f"""
 WITH turns AS (
-    SELECT DISTINCT conv_id, turn, coalesce(role, 'unknown') AS role, coalesce(text, '') AS body FROM conversations
+    SELECT DISTINCT conv_id, coalesce(turn, CAST('{NO_TURN}' AS BIGINT)) AS turn, coalesce(role, 'unknown') AS role, coalesce(text, '') AS body
+    FROM conversations
+), rendered AS (
+    SELECT conv_id, turn, role, body, '{TURN_START}' || role || chr(10) || body || '{TURN_END}' || chr(10) AS piece FROM turns
 ), whole AS (
-    SELECT conv_id, count(*) AS n_turns, min(turn) AS first_turn,
-        string_agg('{TURN_START}' || role || chr(10) || body || '{TURN_END}' || chr(10), '' ORDER BY turn, role, body) AS text
-    FROM turns GROUP BY conv_id
-)
-SELECT a.conv_id, CAST(floor(a.first_turn / {PART_TURNS}) AS BIGINT) AS part, a.n_turns, a.text
-FROM whole a
-WHERE NOT EXISTS (
-    SELECT 1 FROM whole b
-    WHERE a.conv_id <> b.conv_id AND starts_with(b.text, a.text)
-        AND (b.n_turns > a.n_turns OR (b.text = a.text AND b.conv_id < a.conv_id))
+    SELECT conv_id, count(*) AS n_turns, string_agg(turn || '|' || piece, '' ORDER BY turn, role, body) AS text FROM rendered GROUP BY conv_id
+), kept AS (
+    SELECT conv_id, n_turns FROM whole a
+    WHERE NOT EXISTS (
+        SELECT 1 FROM whole b
+        WHERE a.conv_id <> b.conv_id AND starts_with(b.text, a.text)
+            AND (b.n_turns > a.n_turns OR (b.text = a.text AND b.conv_id < a.conv_id))
+    )
 )
+SELECT conv_id, CAST(floor(turn / {PART_TURNS}) AS BIGINT) AS part, n_turns, string_agg(piece, '' ORDER BY turn, role, body) AS text
+FROM rendered JOIN kept USING (conv_id) GROUP BY conv_id, part, n_turns
 """

@@ -52,6 +52,22 @@ def test_query_equals_sql(spark):
     assert sorted(tuple(r) for r in op6_chat(spark, folder).select("conv_id", "part", "n_turns", "text").collect()) == want
 
 
+def test_query_equals_sql_on_long_conversations(spark):
+    rows = conv(1, *map(str, range(11)), first=1020) + conv(2, *map(str, range(2500))) + conv(3, *map(str, range(2400)))
+    rows += conv(4, "a", "b") + [(4, None, None, "x")] + conv(5, *map(str, range(2500)))
+    con = duckdb.connect()
+    con.execute("CREATE TABLE conversations (conv_id BIGINT, turn BIGINT, role VARCHAR, text VARCHAR)")
+    con.executemany("INSERT INTO conversations VALUES (?, ?, ?, ?)", rows)
+    found = sorted((r.conv_id, r.part, r.n_turns, r.text) for r in kept(spark, rows))
+    assert found == sorted(con.execute(chat.SQL).fetchall()) and len(found) == 2 + 3 + 2
+
+
+def test_one_conversation_copied_very_often(spark):
+    turns = spark.createDataFrame(conv(0, "a", "b", "c"), SCHEMA).drop("conv_id")
+    rows = spark.range(3000).withColumnRenamed("id", "conv_id").join(F.broadcast(turns)).unionByName(spark.createDataFrame(conv(-5, "a", "b") + conv(9000, "a", "x"), SCHEMA))
+    assert [(r.conv_id, r.n_turns) for r in chat.render(rows).orderBy("conv_id").collect()] == [(0, 3), (9000, 2)]
+
+
 def test_no_python(spark):
     frame = spark.createDataFrame(conv(1, "a"), SCHEMA)
     plan = chat.render(frame)._jdf.queryExecution().executedPlan().toString()
