@@ -1,12 +1,19 @@
-"""TTL dedup as keyed state: the streaming form of ``operators.dedup.ttl_dedup``."""
+"""TTL dedup as keyed state: the streaming form of ``operators.dedup.ttl_dedup``.
+
+The store is asked from Python, one call at a time, so its unit is not the key: 1,000 neighbouring offsets of a partition share one
+state, which is read and written once for all rows that a micro-batch has of them. Keys from headers have no neighbours; they keep a
+state each and are dealt into groups by their hash, so that a call of the handler serves many of them.
+"""
 
 from __future__ import annotations
 
+import json
 import sys
 from collections.abc import Iterator
 
+import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
@@ -14,55 +21,80 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from keyflow import schemas as S
 from keyflow.operators.dedup import ttl_micros
 
-STATE = S.struct(last_us="bigint", topic="string", partition="int", offset="bigint")
+#: Places of the offset keys of a unit: JSON of the last digits of each key and its ``us, partition, offset, topic``.
+BLOCK = S.struct(places="string")
+KEY = S.struct(dedup_key="string")
+STATE = S.struct(last_us="bigint", partition="int", offset="bigint", topic="string")
 STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+#: Last digits of an offset that a unit leaves out, so it has at most 1,110 keys.
+BLOCK_DIGITS = 3
+#: Groups of the keys from headers.
+HASHED = 1024
 
 # The processor travels by value, so executors need no copy of this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
-PAYLOAD = "_payload"
-NARROW = S.struct(dedup_key="string", _us="bigint", partition="int", offset="bigint", topic="string", _payload="string")
-MARKED = T.StructType([*NARROW.fields, *S.struct(accepted="boolean", dedup_reason="string").fields])
+NARROW = S.struct(unit="string", dedup_key="string", us="bigint", partition="int", offset="bigint", topic="string", payload="string")
+MARKED = T.StructType([*NARROW.fields[1:], *S.struct(accepted="boolean", dedup_reason="string").fields])
 
 
-def _order(row: Row) -> tuple:
-    return row["_us"], row["partition"], row["offset"], row["topic"]
+def unit_of(key: Column) -> Column:
+    """The unit of state of a key, which depends on the key alone: equal keys always meet."""
+    neighbours = F.regexp_replace(key, f"[0-9]{{1,{BLOCK_DIGITS}}}$", "")
+    hashed = F.concat(F.lit("hash:"), F.pmod(F.xxhash64(key), F.lit(HASHED)).cast("string"))
+    return F.when(key.startswith(S.OFFSET_KEY_PREFIX), neighbours).otherwise(hashed)
 
 
 class TtlDedup(StatefulProcessor):
     """Remembers the last accepted delivery of a key and marks every row against it.
 
-    Rows of a key come unordered within a micro-batch, so they are sorted here; the source's intake
-    limit bounds how many there can be. With cleanup, a key is forgotten by the clock after two
+    Rows of a unit come unordered within a micro-batch, so they are sorted here; the source's intake
+    limit bounds how many there can be. With cleanup, a unit of offsets, or a key from a header, is forgotten by the clock after two
     TTLs without an accepted row; a stream that lags by more than one TTL may then accept a duplicate.
     """
 
-    def __init__(self, columns: list[str], ttl_us: int, cleanup: bool):
-        self._columns = columns
+    def __init__(self, ttl_us: int, cleanup: bool, prefix: str = S.OFFSET_KEY_PREFIX):
         self._ttl_us = ttl_us
         self._cleanup = cleanup
+        self._prefix = prefix
+        self._schemas = BLOCK, KEY, STATE
+        self._names = MARKED.names
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         # Expiry follows arrival times; the store's own clock only clears keys long out of use.
         cleanup_ms = 2 * self._ttl_us // 1000 if self._cleanup else None
-        self._last = handle.getValueState("last", STATE, ttlDurationMs=cleanup_ms)
-
-    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
-        last = self._last.get()
-        stored, marked = last, Row(*self._columns)
-        for row in sorted(rows, key=_order):
-            us, partition, offset, topic = _order(row)
-            accepted = last is None or us - last[0] >= self._ttl_us
-            reason = None
-            if accepted:
-                last = (us, topic, partition, offset)
+        block, key, last = self._schemas
+        self._block = handle.getValueState("block", block, ttlDurationMs=cleanup_ms)
+        self._hashed = handle.getMapState("hashed", key, last, ttlDurationMs=cleanup_ms)
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        table = pd.concat(list(rows), ignore_index=True)
+        keys, us, partition, offset, topic = (table[name].tolist() for name in ("dedup_key", "us", "partition", "offset", "topic"))
+        unit = key[0]
+        if unit.startswith(self._prefix):
+            stored = self._block.get()
+            last = {} if stored is None else {unit + digits: tuple(place) for digits, place in json.loads(stored[0]).items()}
+        else:
+            found = ((name, self._hashed.getValue((name,))) for name in set(keys))
+            last = {name: tuple(place) for name, place in found if place is not None}
+        accepted, reasons, changed = [False] * len(keys), [None] * len(keys), set()
+        for place, at in sorted((place, at) for at, place in enumerate(zip(us, partition, offset, topic, strict=True))):
+            name = keys[at]
+            before = last.get(name)
+            if before is None or place[0] - before[0] >= self._ttl_us:
+                accepted[at] = True
+                last[name] = place
+                changed.add(name)
             else:
-                same = (last[1], last[2], last[3]) == (topic, partition, offset)
-                reason = "offset" if same else "idempotency-key"
-            yield marked(*row, accepted, reason)
-        if last is not stored:
-            self._last.update(tuple(last))
+                reasons[at] = "offset" if before[1:] == place[1:] else "idempotency-key"
+        if changed and unit.startswith(self._prefix):
+            self._block.update((json.dumps({name[len(unit) :]: place for name, place in last.items()}),))
+        elif changed:
+            for name in changed:
+                self._hashed.updateValue((name,), last[name])
+        table["accepted"], table["dedup_reason"] = accepted, pd.Series(reasons, dtype=object)
+        yield table[self._names]
 
     def close(self) -> None:
         pass
@@ -79,18 +111,18 @@ def stream_ttl_dedup(rows: DataFrame, ttl: str = S.DEDUP_TTL, always_on: bool =
     times = [field.name for field in payload if isinstance(field.dataType, T.TimestampType)]
     exact = [F.unix_micros(name).alias(name) if name in times else F.col(name) for name in carried]
     packed = T.StructType([T.StructField(f.name, T.LongType() if f.name in times else f.dataType) for f in payload])
-    narrow = rows.withColumns({"_us": F.unix_micros("arrival_ts"), PAYLOAD: F.to_json(F.struct(*exact))})
-    marked = narrow.select(*NARROW.names).groupBy("dedup_key").transformWithState(
-        statefulProcessor=TtlDedup(MARKED.names, ttl_micros(ttl), always_on),
+    own = [F.col(name) for name in rows.columns if name not in carried]
+    narrow = rows.select(
+        *own, unit_of(F.col("dedup_key")).alias("unit"), F.unix_micros("arrival_ts").alias("us"), F.to_json(F.struct(*exact)).alias("payload")
+    )
+    marked = narrow.select(*NARROW.names).groupBy("unit").transformWithStateInPandas(
+        statefulProcessor=TtlDedup(ttl_micros(ttl), always_on),
         outputStructType=MARKED,
         outputMode="Append",
         timeMode="ProcessingTime" if always_on else "None",
     )
-    unpacked = marked.withColumn(PAYLOAD, F.from_json(PAYLOAD, packed))
-    values = [
-        (F.timestamp_micros(f"{PAYLOAD}.{name}") if name in times else F.col(f"{PAYLOAD}.{name}")).alias(name) for name in carried
-    ]
-    own = [name for name in rows.columns if name not in carried]
+    unpacked = marked.withColumn("payload", F.from_json("payload", packed))
+    values = [(F.timestamp_micros(f"payload.{name}") if name in times else F.col(f"payload.{name}")).alias(name) for name in carried]
     return unpacked.select(*own, *values, "accepted", "dedup_reason").select(*rows.columns, "accepted", "dedup_reason")
 
 

@@ -7,15 +7,15 @@ from conftest import envelope, log_of
 from pyspark.sql import functions as F
 
 from keyflow import schemas as S
+from keyflow.operators.classify import with_dedup_key
 from keyflow.plans import batch
 from keyflow.plans.batch import Target, merge_pending, replay_rows, run_batch
 from keyflow.plans.outcomes import build_outcomes
 from keyflow.session import shared_folder
 from keyflow.sources.envelopes import stream_log
 from keyflow.sources.tables import SnapshotTable, read_batches
-from keyflow.streaming.dedup_state import stream_first_wins
+from keyflow.streaming.dedup_state import HASHED, stream_first_wins, unit_of
 from keyflow.streaming.pipeline import run_stream, start_stream
-from keyflow.operators.classify import with_dedup_key
 
 AT = "2024-02-15 00:00:00"
 FIRST = [
@@ -155,6 +155,28 @@ def test_stream_ttl_and_copies(spark, target):
     assert same_rows(table(spark, target, "outcome_log"), build_outcomes(log_of(spark, rows)))
 
 
+def test_neighbouring_offsets_share_a_state(spark):
+    """The handler is called for units of keys: 1,000 neighbours of a partition, or keys of headers by their hash."""
+    offsets = with_dedup_key(log_of(spark, [envelope("a", n) for n in (0, 7, 999, 1000, 1999, 2000, 123456, 123999)]))
+    units = {r.offset: r.unit for r in offsets.select("offset", unit_of(F.col("dedup_key")).alias("unit")).collect()}
+    assert units[0] == units[7] == units[999] and units[1000] == units[1999] and units[123456] == units[123999]
+    assert len(set(units.values())) == 4
+    headers = with_dedup_key(log_of(spark, [envelope("a", n, key=f"key-{n}") for n in range(3000)]))
+    assert headers.select(unit_of(F.col("dedup_key"))).distinct().count() <= HASHED
+
+
+def test_units_of_state_over_a_restart(spark, target):
+    """Keys of one unit, and header keys of one group, keep their own places over micro-batches."""
+    landing, parts = target.table("landing"), []
+    for turn, days in enumerate((0, 3, 8)):
+        plain = [envelope("a", n, days + n / 1000, partition=n % 2) for n in range(turn, 1200, turn + 1)]
+        keyed = [envelope("b", 5000 + n, days + n / 1000, key=f"{n % 70}") for n in range(0, 300, turn + 1)]
+        parts += plain + keyed
+        log_of(spark, plain + keyed).write.mode("append").parquet(landing)
+        run_stream(spark, stream_log(spark, landing), target, AT, "state", timeout=300)
+    assert same_rows(table(spark, target, "outcome_log"), build_outcomes(log_of(spark, parts)))
+
+
 def test_stream_first_wins(spark, target):
     landing = target.table("landing")
     rows = [envelope("a", 1), envelope("a", 1, 1), envelope("a", 2, 2)]
