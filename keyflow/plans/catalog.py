@@ -6,6 +6,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from keyflow import schemas as S
@@ -350,13 +351,18 @@ def trace_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _arrival_slices(log: DataFrame, slices: int = SLICES) -> list[DataFrame]:
-    """The log cut by arrival time, in order, into about equal slices; rows without one are in the first."""
-    arrival = F.unix_micros("arrival_ts")
+    """The log cut by arrival time, in order, into about equal slices; rows without one are in the first.
+
+    Every slice is read several times, so the log is written once by slices, and a slice reads its own files alone."""
+    spark, arrival = log.sparkSession, F.unix_micros("arrival_ts")
     cuts = log.agg(F.percentile_approx(arrival, [n / slices for n in range(1, slices)], 10_000)).first()[0] or []
     number = F.lit(0)
     for cut in cuts:
         number = number + F.coalesce((arrival >= cut).cast("int"), F.lit(0))
-    return [log.filter(number == n) for n in range(slices)]
+    path = scratch_path(spark, "slices")
+    log.withColumn("_slice", number).write.partitionBy("_slice").parquet(path)
+    whole = spark.read.schema(T.StructType([*log.schema, T.StructField("_slice", T.IntegerType())])).parquet(path)
+    return [whole.filter(F.col("_slice") == n).drop("_slice") for n in range(slices)]
 
 
 def _run_batches(spark: SparkSession, log: DataFrame, target: Target, first: int = 0) -> None:

@@ -10,6 +10,7 @@ from keyflow import schemas as S
 from keyflow.operators.classify import with_dedup_key
 from keyflow.plans import batch
 from keyflow.plans.batch import Target, merge_pending, replay_rows, run_batch
+from keyflow.plans.catalog import _arrival_slices
 from keyflow.plans.outcomes import build_outcomes
 from keyflow.session import shared_folder
 from keyflow.sources.envelopes import stream_log
@@ -212,6 +213,20 @@ def test_always_on_stream(spark, target):
     assert {r.customerId for r in target.snapshot(spark).read().collect()} == {"a", "b"}
 
 
+def test_slices_read_their_own_files(spark):
+    """A slice is read several times, so it must not read the rows of the others."""
+    log = log_of(spark, [envelope("a", n, n / 10) for n in range(40)] + [envelope("b", 40 + n) for n in range(3)])
+    parts = _arrival_slices(log)
+    assert sum(part.count() for part in parts) == 43
+    ends = [part.agg(F.min("arrival_ts"), F.max("arrival_ts")).first() for part in parts]
+    assert all(before[1] < after[0] for before, after in zip(ends[:-1], ends[1:], strict=True))
+    for part in parts:
+        files = part.select(F.input_file_name().alias("file")).distinct().collect()
+        assert len({Path(r.file).parent.name for r in files}) == 1
+        assert "PartitionFilters: [isnotnull(_slice" in part._jdf.queryExecution().executedPlan().toString()
+    assert _arrival_slices(log.limit(0))[0].isEmpty()
+
+
 def test_drain_catches_up_with_shared_merges(spark, tmp_path):
     target = Target(str(tmp_path / "out"), spark.createDataFrame([], S.FLAG_RULES), merge_every=100)
     landing = target.table("landing")
