@@ -48,7 +48,7 @@ def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def encode_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return bpe.decode(bpe.encode(docs, BYTE_BPE), BYTE_BPE).withColumn("n_tokens", F.size("ids").cast("long"))
+    return bpe.round_trip(docs, BYTE_BPE).withColumn("n_tokens", F.size("ids").cast("long"))
 
 
 STAGES = [

@@ -14,6 +14,7 @@ from __future__ import annotations
 import json
 from array import array
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -222,6 +223,21 @@ def automaton(path: str) -> Automaton:
     return kept_by_worker("bpe", f"automaton {path}", lambda: Automaton(path))
 
 
+def encoded(vocabulary: str, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    machine = automaton(vocabulary)
+    for batch in batches:
+        parts = [machine.encode(text) if text else b"" for text in batch["text"].to_pylist()]
+        yield pa.RecordBatch.from_arrays([batch["doc_id"], list_array(parts)], ["doc_id", "ids"])
+
+
+def decoded(vocabulary: str, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    labels = labels_in(vocabulary)
+    for batch in batches:
+        lists = batch["ids"].fill_null([]) if batch["ids"].null_count else batch["ids"]
+        texts = labels.texts(lists.values.fill_null(-1).to_numpy(), lists.offsets.to_numpy().astype(np.int64))
+        yield pa.RecordBatch.from_arrays([batch["doc_id"], batch["ids"], pa.array(texts, pa.string())], ["doc_id", "ids", "text"])
+
+
 def encode(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, ids`` of every whole text, in place: no shuffle, and one batch of texts in memory.
 
@@ -229,34 +245,30 @@ def encode(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: s
     Rows with a null or repeated id are encoded like all others.
     """
     small_batches(docs.sparkSession)
+    return identified(docs, id_col, text_col).mapInArrow(partial(encoded, vocabulary), "doc_id long, ids array<int>")
 
-    def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        machine = automaton(vocabulary)
-        for batch in batches:
-            parts = [machine.encode(text) if text else b"" for text in batch["text"].to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch["doc_id"], list_array(parts)], ["doc_id", "ids"])
 
-    return identified(docs, id_col, text_col).mapInArrow(encoded, "doc_id long, ids array<int>")
+def decode(tokens: DataFrame, vocabulary: str) -> DataFrame:
+    """Adds ``text``: the labels of the ids in a row; bytes that are no UTF-8 become U+FFFD, unknown ids nothing."""
+    small_batches(tokens.sparkSession)
+    return tokens.select("doc_id", "ids").mapInArrow(partial(decoded, vocabulary), "doc_id long, ids array<int>, text string")
 
 
-def decode(encoded: DataFrame, vocabulary: str) -> DataFrame:
-    """Adds ``text``: the labels of the ids in a row; bytes that are no UTF-8 become U+FFFD, unknown ids nothing."""
-    small_batches(encoded.sparkSession)
+def round_trip(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``decode(encode(docs))`` in one Python function. Two in a row take two workers a task, and as workers change their
+    parts from task to task, all of them come to hold the caches of both."""
+    small_batches(docs.sparkSession)
 
-    def decoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        labels = labels_in(vocabulary)
-        for batch in batches:
-            lists = batch["ids"].fill_null([]) if batch["ids"].null_count else batch["ids"]
-            texts = labels.texts(lists.values.fill_null(-1).to_numpy(), lists.offsets.to_numpy().astype(np.int64))
-            yield pa.RecordBatch.from_arrays([batch["doc_id"], batch["ids"], pa.array(texts, pa.string())], ["doc_id", "ids", "text"])
+    def both(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return decoded(vocabulary, encoded(vocabulary, batches))
 
-    return encoded.select("doc_id", "ids").mapInArrow(decoded, "doc_id long, ids array<int>, text string")
+    return identified(docs, id_col, text_col).mapInArrow(both, "doc_id long, ids array<int>, text string")
 
 
-def digests(decoded: DataFrame) -> DataFrame:
+def digests(tokens: DataFrame) -> DataFrame:
     """Counts and hashes of the ids and of the decoded text."""
     ids = F.coalesce(F.col("ids"), F.array().cast("array<int>"))
-    return decoded.select(
+    return tokens.select(
         "doc_id",
         F.size(ids).cast("long").alias("n_tokens"),
         F.sha2(F.array_join(ids.cast("array<string>"), ",").cast("binary"), 256).alias("ids_sha256"),

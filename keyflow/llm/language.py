@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from keyflow.llm.common import Memo, kept_by_worker, small_batches
+from keyflow.llm.common import Memo, alone, kept_by_worker, small_batches
 
 UNDETERMINED = "und"
 LETTERS = re.compile(r"[^\W\d_]+")
@@ -145,6 +145,7 @@ def fit(docs: DataFrame, labelled: Column, sample_docs: int = SAMPLE_DOCS, featu
     kept = rows.where(wanted).select("lang", "text")
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        alone("language")
         words: dict[str, Counter] = {}
         size = 0
         for batch in batches:

@@ -3,6 +3,7 @@ import sys
 
 import duckdb
 import pytest
+from llm.arrow_functions import recorded
 from llm.docs_of import ODD, docs_of
 
 import corpus_pipeline as cp
@@ -73,3 +74,26 @@ def test_a_worker_keeps_the_caches_of_one_operator():
     assert common._kept == {"language m": {"rows": {"word": b"row"}}}
     common.alone("near copies")
     assert common._kept == {"near copies": {}}
+
+
+def test_every_function_of_a_stage_drops_the_caches_of_others(spark, monkeypatch):
+    from keyflow.llm import common
+
+    functions = recorded(spark, monkeypatch)
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    for stage in (cp.identify_language, cp.drop_near_copies, cp.drop_benchmark):
+        stage(spark, docs, SF_DIR)
+    assert len(functions) >= 8
+    for function in functions:
+        common.kept_by_worker("counts", "of another operator", dict)
+        list(function(iter([])))
+        assert "counts" not in common._kept, function
+
+
+def test_tokens_are_encoded_and_decoded_by_one_worker(spark, monkeypatch):
+    functions = recorded(spark, monkeypatch)
+    docs = docs_of(spark, ODD)
+    found = cp.encode_tokens(spark, docs, SF_DIR)
+    assert len(functions) == 1
+    both = cp.bpe.decode(cp.bpe.encode(docs, cp.BYTE_BPE), cp.BYTE_BPE)
+    assert sorted(map(repr, found.select(both.columns).collect())) == sorted(map(repr, both.collect()))
