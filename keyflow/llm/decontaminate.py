@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -19,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from keyflow.llm.common import Memo, alone, bit_map, identified, mapped, small_batches, texts_of, unpacked
+from keyflow.llm.common import alone, bit_map, identified, mapped, small_batches, texts_of, unpacked
 from keyflow.llm.components import written
 
 TOKEN = re.compile(r"\w+")
@@ -47,8 +48,10 @@ MASKS = {
 #: Words that must be compared and the share of them that must agree; an item with fewer words is compared whole.
 OVERLAP_WORDS = 13
 OVERLAP_SHARE = 0.8
-#: Words whose hash a task remembers.
-WORD_ENTRIES = 200_000
+#: Words of neighbouring texts that are seeded at once.
+GROUP_WORDS = 1 << 18
+#: Fixed value, odd: a run's hash weighs its words by its powers.
+FACTOR = 0xD6E8FEB86659FD93
 
 
 def tokens(text: str | None) -> list[str]:
@@ -66,13 +69,22 @@ def mixed(x: np.ndarray) -> np.ndarray:
 
 
 def seeds(words: np.ndarray, mask: str, number: int) -> np.ndarray:
-    """The hash of the run that begins at each word."""
-    n = len(words) - len(mask) + 1
-    total = np.full(max(n, 0), number + 1, np.uint64)
+    """The hash of the run that begins at each word: the words' hashes by powers of an odd number, summed and mixed."""
+    n = max(len(words) - len(mask) + 1, 0)
+    total = np.full(n, number + 1, np.uint64)
+    factor = np.uint64(1)
     for at, bit in enumerate(mask):
-        if bit == "1" and n > 0:
-            total = mixed(total + words[at : at + n])
-    return total
+        if bit == "1":
+            total += words[at : at + n] * factor if at else words[:n]
+        factor = np.uint64(int(factor) * FACTOR % (1 << 64))
+    return mixed(total)
+
+
+def hashes_of(words: list[str]) -> np.ndarray:
+    """The 64-bit hash of each word, computed once for all words that are the same."""
+    coded = pa.array(words, pa.large_string()).dictionary_encode()
+    names = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+    return np.fromiter(map(xxhash.xxh64_intdigest, names), np.uint64, len(names))[coded.indices.to_numpy()]
 
 
 def seed_table(texts: DataFrame, key: str, masks: dict[int, tuple[str, ...]], used: list[int] | None = None, bits: bytes | None = None) -> DataFrame:
@@ -80,26 +92,50 @@ def seed_table(texts: DataFrame, key: str, masks: dict[int, tuple[str, ...]], us
     whatever the length, and only of runs whose seed the map ``bits`` has."""
     numbers = {mask: number for number, mask in enumerate(sorted({mask for some in masks.values() for mask in some}))}
     by_length = {length: [(numbers[mask], mask) for mask in some] for length, some in masks.items()}
-    of_docs = [(number, mask) for mask, number in numbers.items() if used is not None and number in used]
+    numbered = [(number, mask) for mask, number in numbers.items()]
+    of_docs = [(number, mask) for number, mask in numbered if used is not None and number in used]
 
     def seeded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         alone("decontamination")
-        hash_of = Memo(xxhash.xxh64_intdigest, WORD_ENTRIES)
         known = unpacked(bits) if bits else None
         for batch in batches:
-            found: list[tuple[np.ndarray, ...]] = []
-            for key_of, text in zip(batch["key"].to_pylist(), batch["text"].to_pylist(), strict=True):
-                words = tokens(text)
-                if key_of is None or not words:
-                    continue
-                hashed = np.fromiter(map(hash_of.__getitem__, words), np.uint64, len(words))
-                for number, mask in by_length[min(len(words), max(by_length))] if used is None else of_docs:
-                    one = seeds(hashed, mask, number)
-                    at = np.arange(len(one)) if known is None else mapped(known, one)
-                    if len(at):
-                        found.append((one[at].view(np.int64), np.full(len(at), key_of, np.int64), at.astype(np.int32), np.full(len(at), number, np.int32)))
-            if found:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*found, strict=True)], ["seed", "key", "at", "mask"])
+            for keys, texts in groups(batch):
+                yield seeded_group(keys, texts, known)
+
+    def groups(batch: pa.RecordBatch) -> Iterator[tuple[list[int], list[list[str]]]]:
+        """Ids and words of texts, about ``GROUP_WORDS`` words at a time: a text of any length stays whole."""
+        keys, texts, size = [], [], 0
+        for key_of, text in zip(batch["key"].to_pylist(), batch["text"].to_pylist(), strict=True):
+            if key_of is None or not (words := tokens(text)):
+                continue
+            keys.append(key_of)
+            texts.append(words)
+            size += len(words)
+            if size >= GROUP_WORDS:
+                yield keys, texts
+                keys, texts, size = [], [], 0
+        if keys:
+            yield keys, texts
+
+    def seeded_group(keys: list[int], texts: list[list[str]], known: np.ndarray | None) -> pa.RecordBatch:
+        """All texts are seeded as one; a run that goes over the end of its text is none."""
+        lengths = np.fromiter(map(len, texts), np.int64, len(texts))
+        ends = np.cumsum(lengths)
+        hashed = hashes_of([*chain.from_iterable(texts)])
+        key_of = np.array(keys, np.int64)
+        found: list[tuple[np.ndarray, ...]] = []
+        for number, mask in numbered if used is None else of_docs:
+            one = seeds(hashed, mask, number)
+            at = np.arange(len(one)) if known is None else mapped(known, one)
+            row = np.searchsorted(ends, at, "right")
+            whole = at + len(mask) <= ends[row]
+            if used is None:
+                whole &= np.array([(number, mask) in by_length[length] for length in np.minimum(lengths, max(by_length)).tolist()])[row]
+            at, row = at[whole], row[whole]
+            found.append((one[at].view(np.int64), key_of[row], (at - ends[row] + lengths[row]).astype(np.int32), np.full(len(at), number, np.int32)))
+        columns = zip(*found, strict=True) if found else [()] * 4
+        kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32())
+        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(x) if x else [], kind) for x, kind in zip(columns, kinds, strict=True)], ["seed", "key", "at", "mask"])
 
     return texts.select(F.col(key).alias("key"), "text").mapInArrow(seeded, "seed long, key long, at int, mask int")
 
@@ -132,7 +168,7 @@ def find(
     small_batches(docs.sparkSession)
     docs = identified(docs)
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")).where("item_id IS NOT NULL")
-    wanted = seed_table(items, "item_id", masks)
+    wanted = written(seed_table(items, "item_id", masks), "seeds")
     used = [row["mask"] for row in wanted.select("mask").distinct().collect()]
     bits = bit_map(wanted.select(F.col("seed").alias("hash")))
     hits = seed_table(docs, "doc_id", masks, used, bits).drop("mask").withColumnsRenamed({"key": "doc_id", "at": "_doc_at"})

@@ -1,6 +1,9 @@
 import itertools
 import random
 
+import numpy as np
+import pyarrow as pa
+from llm.arrow_functions import recorded
 from llm.docs_of import ODD, clashing, docs_of
 
 from keyflow.llm import decontaminate as dc
@@ -85,3 +88,23 @@ def test_short_items_are_found(spark):
     want.add((len(rows), 99))
     rows.append((len(rows), f"前面{chinese[:6]}他{chinese[7:]}后面"))
     assert {(r.doc_id, r.item_id) for r in dc.find(docs_of(spark, rows), bench).collect()} == want
+
+
+def test_texts_are_seeded_together(spark, monkeypatch):
+    rng = random.Random(7)
+    texts = [" ".join(words(rng, n % 40)) for n in range(300)] + [None, "", "one"]
+    docs = docs_of(spark, [(n if n % 11 else None, text) for n, text in enumerate(texts)])
+    functions = recorded(spark, monkeypatch)
+    dc.seed_table(docs, "doc_id", dc.MASKS)
+    alone, calls = dc.seeds, []
+    monkeypatch.setattr(dc, "seeds", lambda *of: calls.append(of) or alone(*of))
+    batch = pa.RecordBatch.from_pydict({"key": [n if n % 11 else None for n in range(len(texts))], "text": texts})
+    found = [row for out in functions[0](iter([batch])) for row in zip(*(out[x].to_pylist() for x in ("seed", "key", "at", "mask")), strict=True)]
+    numbers = {mask: number for number, mask in enumerate(sorted({mask for some in dc.MASKS.values() for mask in some}))}
+    assert len(calls) <= len(numbers)
+    want = []
+    for n, text in enumerate(texts):
+        if n % 11 and (hashed := dc.hashes_of(dc.tokens(text))).size:
+            for mask in dc.MASKS[min(len(hashed), 13)]:
+                want += [(seed, n, at, numbers[mask]) for at, seed in enumerate(alone(hashed, mask, numbers[mask]).view(np.int64).tolist())]
+    assert sorted(found) == sorted(want) and len({(seed, mask) for seed, _, _, mask in want}) > 1000
