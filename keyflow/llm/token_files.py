@@ -16,6 +16,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -67,61 +68,72 @@ class Pieces:
             return part[:-1].lower(), part[-1]
         return part.lower(), ""
 
-    def learn(self, parts: set[str]) -> None:
-        """Makes the ids of all parts known."""
-        if len(self.known) > CACHE_ENTRIES:
-            self.older, self.known = self.known, {}
-        missing: dict[str, list[tuple[str, str]]] = {}
-        known, older = self.known, self.older.get
-        for part in parts.difference(known):
+    def learn(self, parts: list[str]) -> None:
+        """Makes the ids of parts known that are not."""
+        known, older, reduced, tokenize = self.known, self.older.get, self.reduced, self.model.tokenize
+        others: dict[str, None] = {}
+        waiting: list[tuple[str, str, str]] = []
+        for part in parts:
             ids = older(part)
-            if ids is not None:
-                known[part] = ids
-                continue
-            base, mark = self.reduced(part)
-            ids = known.get(base) or older(base)
             if ids is None:
-                missing.setdefault(base, []).append((part, mark))
-            else:
-                known[part] = ids + self.marks[mark] if mark else ids
+                base, mark = reduced(part)
+                ids = known.get(base) or older(base)
+                if ids is None:
+                    plain = base.isascii()
+                    if not (base.isalpha() if plain else LATIN.fullmatch(base)):
+                        others[base] = None
+                        waiting.append((part, base, mark))
+                        continue
+                    ids = known[base] = array("i", [token.id for token in tokenize(base if plain else base.translate(SYMBOLS))]).tobytes()
+                if mark:
+                    ids += self.marks[mark]
+            known[part] = ids
         line: list[str] = []
         size = 0
-        tokenize = self.model.tokenize
-        for base, parts_of in missing.items():
-            if LATIN.fullmatch(base):
-                own = known[base] = array("i", [token.id for token in tokenize(base if base.isascii() else base.translate(SYMBOLS))]).tobytes()
-                for part, mark in parts_of:
-                    known[part] = own + self.marks[mark] if mark else own
-                continue
+        for base in others:
             line.append(base)
             size += len(base) + 1
             if size > CALL_CHARS:
-                self.encode_line(line, missing)
+                self.encode_line(line)
                 line, size = [], 0
         if line:
-            self.encode_line(line, missing)
+            self.encode_line(line)
+        for part, base, mark in waiting:
+            known[part] = known[base] + self.marks[mark] if mark else known[base]
 
-    def encode_line(self, bases: list[str], wanted: dict[str, list[tuple[str, str]]]) -> None:
+    def encode_line(self, bases: list[str]) -> None:
         encoding = self.tokenizer.encode(" ".join(bases), add_special_tokens=False)
         ids = np.array(encoding.ids, "<i4")
         begins = np.fromiter((x[0] for x in encoding.offsets), np.int64, len(ids))
         starts = np.zeros(len(bases) + 1, np.int64)
         np.cumsum([len(base) + 1 for base in bases], out=starts[1:])
         cuts = (4 * np.searchsorted(begins, starts)).tolist()
-        packed, known = ids.tobytes(), self.known
-        for base, a, b in zip(bases, cuts[:-1], cuts[1:], strict=True):
-            own = known[base] = packed[a:b]
-            for part, mark in wanted[base]:
-                known[part] = own + self.marks[mark] if mark else own
+        packed = ids.tobytes()
+        self.known.update(zip(bases, [packed[a:b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)], strict=True))
+
+    def lists(self, texts: pa.Array, end: list[int]) -> pa.ListArray:
+        """The ids of each text and ``end`` after them; a null text is an empty one. Texts are split and their parts
+        numbered by Arrow, so Python sees each part once a batch, and the ids are gathered by these numbers."""
+        split = pc.split_pattern(pc.replace_substring(texts, "\n", " "), " ")
+        parts = split.flatten().dictionary_encode()
+        names = parts.dictionary.to_numpy(zero_copy_only=False).tolist()
+        if len(self.known) > CACHE_ENTRIES:
+            self.older, self.known = self.known, {}
+        found = [*map(self.known.get, names), np.array(end, "<i4").tobytes()]
+        missing = [at for at, ids in enumerate(found) if ids is None]
+        self.learn([names[at] for at in missing])
+        for at in missing:
+            found[at] = self.known[names[at]]
+        ids = list_array(found)
+        ends = np.cumsum(pc.list_value_length(split).fill_null(0).to_numpy(zero_copy_only=False), dtype=np.int64)
+        gathered = ids.take(pa.array(np.insert(parts.indices.to_numpy(), ends, len(names))))
+        cuts = np.concatenate([[0], ends + np.arange(1, len(ends) + 1)])
+        return pa.ListArray.from_arrays(pa.array(gathered.offsets.to_numpy()[cuts]), gathered.values)
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
-        split = [text.replace("\n", " ").split(" ") if text else [] for text in texts]
-        parts: set[str] = set()
-        for words in split:
-            parts.update(words)
-        self.learn(parts)
-        known = self.known.__getitem__
-        return [b"".join(map(known, words)) for words in split]
+        lists = self.lists(pa.array(texts, pa.string()), [])
+        values, offsets = lists.values.to_numpy(), lists.offsets.to_numpy()
+        return [values[a:b].tobytes() for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
 
 
 def pieces(path: str) -> Pieces:
@@ -139,13 +151,13 @@ def write(docs: DataFrame, vocabulary: str, path: str, end_id: int = END_ID, id_
     small_batches(spark)
 
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        machine, place, end = pieces(vocabulary), 0, np.array([end_id], "<i4").tobytes()
+        machine, place = pieces(vocabulary), 0
         for batch in batches:
-            parts = [part + end for part in machine.encode(batch["text"].to_pylist())]
-            counts = np.array([len(part) // 4 for part in parts], np.int64)
+            ids = machine.lists(batch["text"], [end_id])
+            counts = np.diff(ids.offsets.to_numpy()).astype(np.int64)
             before = place + np.cumsum(counts) - counts
             place += int(counts.sum())
-            arrays = [batch["doc_id"], pa.array(before), pa.array(counts), list_array(parts)]
+            arrays = [batch["doc_id"], pa.array(before), pa.array(counts), ids]
             yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "place", "n_tokens", "ids"])
 
     (

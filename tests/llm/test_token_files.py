@@ -2,6 +2,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pyarrow.parquet as pq
 from llm.docs_of import ODD, clashing, docs_of
 from tokenizers import Tokenizer
@@ -74,3 +75,28 @@ def test_starts_hold_under_a_limit_of_rows_per_file(spark, tmp_path):
     for row in token_files.read_tokens(spark, path).orderBy("doc_id").collect():
         assert row.start == start
         start += row.n_tokens
+
+
+def test_a_part_is_looked_up_once_a_batch():
+    class Counting(dict):
+        lookups = 0
+
+        def __getitem__(self, key):
+            Counting.lookups += 1
+            return super().__getitem__(key)
+
+    library, machine = Tokenizer.from_file(PATH), token_files.Pieces(PATH)
+    machine.known = Counting()
+    texts = [f"some words, {n % 7} times\nsome words " * 30 for n in range(200)]
+    found = machine.encode(texts)
+    assert Counting.lookups < 100
+    assert [np.frombuffer(x, "<i4").tolist() for x in found] == [library.encode(text, add_special_tokens=False).ids for text in texts]
+
+
+def test_lists_of_a_slice():
+    library, machine = Tokenizer.from_file(PATH), token_files.Pieces(PATH)
+    texts = [text for _, text in ODD] + [None, "\n", " ", "a\n\nb  a", "A. a, İ, 日本. <s>, ß.", "x" * 70_000 + " 日" * 40_000]
+    for begin, size in ((0, len(texts)), (2, 9), (1, 1), (5, 0), (len(texts) - 6, 6)):
+        lists = machine.lists(pa.array(texts, pa.string()).slice(begin, size), [1])
+        assert lists.to_pylist() == [library.encode(text or "", add_special_tokens=False).ids + [1] for text in texts[begin : begin + size]]
+    assert machine.lists(pa.array([None, None], pa.string()), [1]).to_pylist() == [[1], [1]]
