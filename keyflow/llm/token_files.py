@@ -29,6 +29,8 @@ ROW_GROUP_BYTES = 8 << 20
 PAGE_BYTES = 256 << 10
 #: Characters handed to the tokenizer at once.
 CALL_CHARS = 60_000
+#: Bytes of texts whose parts are gathered at once.
+GROUP_BYTES = 8 << 20
 
 
 #: Letters whose lower case is one letter of the same range, in composed form as they are.
@@ -136,6 +138,19 @@ class Pieces:
         return [values[a:b].tobytes() for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
 
 
+def grouped(batches: Iterator[pa.RecordBatch], most: int = GROUP_BYTES) -> Iterator[pa.RecordBatch]:
+    """Neighbouring batches as one, up to a size; a larger batch stays alone. The larger a batch, the more of its parts
+    are the same."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if held and sum(x.nbytes for x in held) + batch.nbytes > most:
+            yield pa.concat_batches(held)
+            held = []
+        held.append(batch)
+    if held:
+        yield pa.concat_batches(held)
+
+
 def pieces(path: str) -> Pieces:
     return kept_by_worker("files", path, lambda: Pieces(path))
 
@@ -152,7 +167,7 @@ def write(docs: DataFrame, vocabulary: str, path: str, end_id: int = END_ID, id_
 
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         machine, place = pieces(vocabulary), 0
-        for batch in batches:
+        for batch in grouped(batches):
             ids = machine.lists(batch["text"], [end_id])
             counts = np.diff(ids.offsets.to_numpy()).astype(np.int64)
             before = place + np.cumsum(counts) - counts

@@ -100,3 +100,11 @@ def test_lists_of_a_slice():
         lists = machine.lists(pa.array(texts, pa.string()).slice(begin, size), [1])
         assert lists.to_pylist() == [library.encode(text or "", add_special_tokens=False).ids + [1] for text in texts[begin : begin + size]]
     assert machine.lists(pa.array([None, None], pa.string()), [1]).to_pylist() == [[1], [1]]
+
+
+def test_batches_are_grouped_up_to_a_size():
+    batches = [pa.RecordBatch.from_arrays([pa.array(["x" * size] * n, pa.string())], ["text"]) for size, n in ((10, 5), (10, 5), (5000, 2), (10, 1), (10, 0), (10, 3))]
+    found = [*token_files.grouped(iter(batches), 1000)]
+    assert [batch.num_rows for batch in found] == [10, 2, 4]
+    assert pa.Table.from_batches(found) == pa.Table.from_batches(batches)
+    assert [*token_files.grouped(iter([]))] == []
