@@ -10,9 +10,10 @@ comes from a read of the counts alone.
 from __future__ import annotations
 
 import re
+import string
 import zlib
-from array import array
 from collections.abc import Iterator
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -25,16 +26,22 @@ from keyflow.llm.bpe import byte_of_symbol
 from keyflow.llm.common import CACHE_ENTRIES, identified, kept_by_worker, list_array, partitions, small_batches
 
 END_ID = 1
-ROW_GROUP_BYTES = 8 << 20
+ROW_GROUP_BYTES = 16 << 20
 PAGE_BYTES = 256 << 10
 #: Characters handed to the tokenizer at once.
 CALL_CHARS = 60_000
 #: Bytes of texts whose parts are gathered at once.
-GROUP_BYTES = 8 << 20
+GROUP_BYTES = 16 << 20
+#: Parts whose ids a worker keeps, and as many of those before.
+KNOWN_ENTRIES = CACHE_ENTRIES // 2
 
 
 #: Letters whose lower case is one letter of the same range, in composed form as they are.
-LATIN = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+")
+LETTERS = string.ascii_letters + "".join(chr(code) for code in range(0xC0, 0x100) if chr(code).isalpha())
+LATIN = re.compile(f"[{LETTERS}]+")
+#: Marks that are tokens of their own after a letter, with nothing after them; names of special tokens begin with "<".
+MARKS = string.punctuation.replace("<", "")
+PLAIN = rf"\A[{LETTERS}]+[{re.escape(MARKS)}]*\z"
 #: Their bytes in the symbols of byte-level vocabularies.
 SYMBOL_OF = {byte: symbol for symbol, byte in byte_of_symbol().items()}
 SYMBOLS = {code: "".join(SYMBOL_OF[byte] for byte in chr(code).encode()) for code in range(128, 256)}
@@ -70,29 +77,35 @@ class Pieces:
             return part[:-1].lower(), part[-1]
         return part.lower(), ""
 
-    def learn(self, parts: list[str]) -> None:
-        """Makes the ids of parts known that are not."""
-        known, older, reduced, tokenize = self.known, self.older.get, self.reduced, self.model.tokenize
-        others: dict[str, None] = {}
+    def learn(self, words: list[str], others: list[str]) -> None:
+        """Makes the ids of parts known that are not; ``words`` are Latin letters in lower case."""
+        known, older = self.known, self.older.get
+        new: dict[str, None] = {}
+        odd: dict[str, None] = {}
         waiting: list[tuple[str, str, str]] = []
-        for part in parts:
-            ids = older(part)
+        for word in words:
+            ids = older(word)
             if ids is None:
-                base, mark = reduced(part)
-                ids = known.get(base) or older(base)
-                if ids is None:
-                    plain = base.isascii()
-                    if not (base.isalpha() if plain else LATIN.fullmatch(base)):
-                        others[base] = None
-                        waiting.append((part, base, mark))
-                        continue
-                    ids = known[base] = array("i", [token.id for token in tokenize(base if plain else base.translate(SYMBOLS))]).tobytes()
-                if mark:
-                    ids += self.marks[mark]
-            known[part] = ids
+                new[word] = None
+            else:
+                known[word] = ids
+        for part in others:
+            ids = older(part)
+            if ids is not None:
+                known[part] = ids
+                continue
+            base, mark = self.reduced(part)
+            waiting.append((part, base, mark))
+            if base not in known:
+                ids = older(base)
+                if ids is not None:
+                    known[base] = ids
+                else:
+                    (new if (base.isalpha() if base.isascii() else LATIN.fullmatch(base)) else odd)[base] = None
+        self.encode_words([*new])
         line: list[str] = []
         size = 0
-        for base in others:
+        for base in odd:
             line.append(base)
             size += len(base) + 1
             if size > CALL_CHARS:
@@ -103,6 +116,15 @@ class Pieces:
         for part, base, mark in waiting:
             known[part] = known[base] + self.marks[mark] if mark else known[base]
 
+    def encode_words(self, words: list[str]) -> None:
+        """The library's model takes words one by one; their ids are packed together."""
+        tokenize, ids, cuts = self.model.tokenize, [], [0]
+        for word in words:
+            ids += [token.id for token in tokenize(word if word.isascii() else word.translate(SYMBOLS))]
+            cuts.append(4 * len(ids))
+        packed = np.array(ids, "<i4").tobytes()
+        self.known.update(zip(words, [packed[a:b] for a, b in pairwise(cuts)], strict=True))
+
     def encode_line(self, bases: list[str]) -> None:
         encoding = self.tokenizer.encode(" ".join(bases), add_special_tokens=False)
         ids = np.array(encoding.ids, "<i4")
@@ -114,24 +136,39 @@ class Pieces:
         self.known.update(zip(bases, [packed[a:b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)], strict=True))
 
     def lists(self, texts: pa.Array, end: list[int]) -> pa.ListArray:
-        """The ids of each text and ``end`` after them; a null text is an empty one. Texts are split and their parts
-        numbered by Arrow, so Python sees each part once a batch, and the ids are gathered by these numbers."""
+        """The ids of each text and ``end`` after them; a null text is an empty one. Texts are split and their parts numbered
+        by Arrow, which also puts words in lower case and takes the marks after them off, so Python sees each word once a
+        batch, with all its capitals and marks. The ids are gathered by these numbers."""
         split = pc.split_pattern(pc.replace_substring(texts, "\n", " "), " ")
         parts = split.flatten().dictionary_encode()
-        names = parts.dictionary.to_numpy(zero_copy_only=False).tolist()
-        if len(self.known) > CACHE_ENTRIES:
-            self.older, self.known = self.known, {}
-        found = [*map(self.known.get, names), np.array(end, "<i4").tobytes()]
-        missing = [at for at, ids in enumerate(found) if ids is None]
-        self.learn([names[at] for at in missing])
-        for at in missing:
-            found[at] = self.known[names[at]]
-        ids = list_array(found)
+        names = parts.dictionary
+        plain = pc.match_substring_regex(names, PLAIN)
+        coded = pc.if_else(plain, pc.utf8_lower(pc.utf8_rtrim(names, MARKS)), names).dictionary_encode()
+        marks = pc.utf8_ltrim(names.filter(plain), LETTERS).dictionary_encode()
+        plain, base_of = plain.to_numpy(zero_copy_only=False), coded.indices.to_numpy()
+        is_word = np.zeros(len(coded.dictionary) + len(marks.dictionary), bool)
+        is_word[base_of[plain]] = True
+        found = self.ids_of([*coded.dictionary.to_pylist(), *marks.dictionary.to_pylist()], is_word.tolist())
+        pairs = np.full((len(names) + 1, 2), len(found))
+        pairs[:-1, 0], pairs[-1, 0] = base_of, len(found) + 1
+        pairs[:-1, 1][plain] = marks.indices.to_numpy() + len(coded.dictionary)
+        both = list_array([*found, b"", np.array(end, "<i4").tobytes()]).take(pa.array(pairs.ravel()))
+        ids = pa.ListArray.from_arrays(pa.array(both.offsets.to_numpy()[::2]), both.values)
         ends = np.cumsum(pc.list_value_length(split).fill_null(0).to_numpy(zero_copy_only=False), dtype=np.int64)
         gathered = ids.take(pa.array(np.insert(parts.indices.to_numpy(), ends, len(names))))
         cuts = np.concatenate([[0], ends + np.arange(1, len(ends) + 1)])
         return pa.ListArray.from_arrays(pa.array(gathered.offsets.to_numpy()[cuts]), gathered.values)
 
+    def ids_of(self, bases: list[str], is_word: list[bool]) -> list[bytes]:
+        if len(self.known) > KNOWN_ENTRIES:
+            self.older, self.known = self.known, {}
+        found = [*map(self.known.get, bases)]
+        missing = [at for at, ids in enumerate(found) if ids is None]
+        self.learn([bases[at] for at in missing if is_word[at]], [bases[at] for at in missing if not is_word[at]])
+        for at in missing:
+            found[at] = self.known[bases[at]]
+        return found
+
     def encode(self, texts: list[str | None]) -> list[bytes]:
         lists = self.lists(pa.array(texts, pa.string()), [])
         values, offsets = lists.values.to_numpy(), lists.offsets.to_numpy()

@@ -1,3 +1,4 @@
+import string
 import zlib
 
 import numpy as np
@@ -108,3 +109,27 @@ def test_batches_are_grouped_up_to_a_size():
     assert [batch.num_rows for batch in found] == [10, 2, 4]
     assert pa.Table.from_batches(found) == pa.Table.from_batches(batches)
     assert [*token_files.grouped(iter([]))] == []
+
+
+def test_a_word_is_one_part_with_all_its_capitals_and_marks(monkeypatch):
+    library, machine = Tokenizer.from_file(PATH), token_files.Pieces(PATH)
+    marks = ["", *string.punctuation, "!!", "###", "...", ",.", "'.", "'s", "'", "s'", "|>", "<", "<|", "≯", "́", "́.", "1!", "!a", "$ß!"]
+    words = ["word", "Word", "Été", "été", "don", "I", "x×", "İ", "<|endoftext|", "<|ENDOFTEXT|", "'s", "!!"]
+    texts = [" ".join(word + mark for mark in marks) for word in words] + [mark + word for word in words for mark in marks]
+    for found, text in zip(machine.lists(pa.array(texts, pa.string()), [1]).to_pylist(), texts, strict=True):
+        assert found == library.encode(text, add_special_tokens=False).ids + [1], text
+
+    seen = []
+    original = token_files.Pieces.ids_of
+    monkeypatch.setattr(token_files.Pieces, "ids_of", lambda self, bases, is_word: seen.extend(bases) or original(self, bases, is_word))
+    machine.lists(pa.array(["Word, WORD word!! word?! wOrd'", "word: Été$$ été."], pa.string()), [1])
+    assert len([x for x in seen if x.lower().startswith(("word", "été"))]) == 2
+
+
+def test_what_is_kept_is_bounded(monkeypatch):
+    monkeypatch.setattr(token_files, "KNOWN_ENTRIES", 50)
+    library, machine = Tokenizer.from_file(PATH), token_files.Pieces(PATH)
+    for n in range(20):
+        texts = [f"w{chr(97 + n)}{chr(97 + k)} {n}-{k}! common, 日{k}" for k in range(26)]
+        assert machine.lists(pa.array(texts, pa.string()), [1]).to_pylist() == [library.encode(text, add_special_tokens=False).ids + [1] for text in texts]
+    assert max(len(machine.known), len(machine.older)) < 200
