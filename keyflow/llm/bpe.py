@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import pre_tokenizers
 
-from keyflow.llm.common import CACHE_ENTRIES, Memo, identified, kept_by_worker, list_array, small_batches
+from keyflow.llm.common import Memo, identified, kept_by_worker, list_array, small_batches
 
 #: Fixed value: the split rule of byte-level vocabularies.
 SPLIT = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
@@ -31,7 +31,10 @@ LIBRARY_SPLIT = pre_tokenizers.ByteLevel(add_prefix_space=False)
 #: A space after a space character can belong to a longer run; elsewhere a space always starts a word.
 RUN_OF_SPACE = regex.compile(r"\s ")
 CHUNK = regex.compile(r"\s*\S+|\s+")
-TABLE_ENTRIES = 1_000_000
+#: What the caches of transitions, pre-splits and words after a space hold. An executor has a worker or two for each core.
+TABLE_ENTRIES = 400_000
+SPLIT_ENTRIES = 100_000
+SPACED_ENTRIES = 300_000
 #: Ids whose labels are gathered at once.
 PIECE_IDS = 1 << 20
 #: Below this code point the classes of letters, digits and spaces are the same in all versions of Unicode in use.
@@ -72,8 +75,8 @@ class Automaton:
         self.steps = len(model["merges"])
         self.table = Memo(lambda pair: self.arc(*divmod(pair, self.ids), self.steps), TABLE_ENTRIES)
         self.grow_tree()
-        self.words = Memo(self.encode_word, CACHE_ENTRIES // 2)
-        self.spaced = Memo(lambda word: self.encode_chunk(" " + word))
+        self.words = Memo(self.encode_word, SPLIT_ENTRIES)
+        self.spaced = Memo(self.encode_spaced, SPACED_ENTRIES)
 
     def add_gadget(self, step: int, first: int, second: int, merged: int) -> None:
         known = first in self.born and second in self.born
@@ -146,6 +149,11 @@ class Automaton:
         """Several pre-splits that end where no other one can begin earlier or later."""
         return b"".join(map(self.words.__getitem__, split(chunk))) if chunk else b""
 
+    def encode_spaced(self, word: str) -> bytes:
+        """A word after a space; one that is a single pre-split is not kept among these as well."""
+        parts = split(" " + word)
+        return self.encode_word(parts[0]) if len(parts) == 1 else b"".join(map(self.words.__getitem__, parts))
+
     def encode(self, text: str) -> bytes:
         if not self.extra_split or not (hits := [*self.extra_split.finditer(text)]):
             return self.encode_plain(text)

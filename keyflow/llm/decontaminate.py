@@ -194,7 +194,8 @@ def find(
             kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32())
             yield pa.RecordBatch.from_arrays([pa.array(x, kind) for x, kind in zip(columns, kinds, strict=True)], ["doc_id", "item_id", "first_word", "n_words", "n_matched"])
 
-    rows = pairs.join(items.withColumnRenamed("text", "item"), "item_id").join(texts_of(docs, pairs), "doc_id").select("doc_id", "item_id", "shifts", "item", "text")
+    texts = written(texts_of(docs, pairs), "texts")  # else both functions run in one stage, and a task takes two workers
+    rows = pairs.join(items.withColumnRenamed("text", "item"), "item_id").join(texts, "doc_id").select("doc_id", "item_id", "shifts", "item", "text")
     found = rows.mapInArrow(verified, "doc_id long, item_id long, first_word int, n_words int, n_matched int")
     best = F.max(F.struct("n_matched", (-F.col("first_word")).alias("_before"), "n_words"))
     return found.groupBy("doc_id", "item_id").agg(best.alias("x")).select(

@@ -66,3 +66,12 @@ def test_labels_are_gathered_in_pieces(monkeypatch, piece):
     offsets = np.concatenate([[0], np.cumsum([len(row) for row in rows])])
     ids = np.array([x for row in rows for x in row], np.int32)
     assert labels.texts(ids, offsets) == ["aé", "", "\ufffd", "xyzxyzxyzxyza", "éé"]
+
+
+def test_a_word_is_kept_once(library):
+    machine = bpe.Automaton(PATH)
+    text = "one two, two three's  four\tfive 日本 six"
+    assert list(memoryview(machine.encode(text)).cast("i")) == library.encode(text, add_special_tokens=False).ids
+    plain = "a few more words and other ones"
+    assert list(memoryview(machine.encode(plain)).cast("i")) == library.encode(plain, add_special_tokens=False).ids
+    assert {*plain.split()[1:]} <= {*machine.spaced} and not {" " + word for word in plain.split()[1:]} & {*machine.words}

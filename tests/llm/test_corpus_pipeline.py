@@ -1,5 +1,7 @@
+import gc
 import importlib
 import sys
+import weakref
 
 import duckdb
 import pytest
@@ -97,3 +99,24 @@ def test_tokens_are_encoded_and_decoded_by_one_worker(spark, monkeypatch):
     assert len(functions) == 1
     both = cp.bpe.decode(cp.bpe.encode(docs, cp.BYTE_BPE), cp.BYTE_BPE)
     assert sorted(map(repr, found.select(both.columns).collect())) == sorted(map(repr, both.collect()))
+
+
+def test_what_an_operator_kept_goes_at_once():
+    from keyflow.llm import common
+
+    machine = common.kept_by_worker("bpe", "of this test", lambda: cp.bpe.Automaton(cp.BYTE_BPE))
+    assert machine.encode("some words") and machine.spaced.fill.__self__ is machine
+    kept = weakref.ref(machine)
+    del machine
+    gc.disable()
+    try:
+        common.alone("near copies")
+        assert kept() is None
+    finally:
+        gc.enable()
+
+
+def test_a_task_of_decontamination_has_one_python_function(spark):
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    plan = cp.drop_benchmark(spark, docs, SF_DIR)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("MapInArrow") == 1
