@@ -66,6 +66,10 @@ class Target:
         return KeyMemory(spark, self.table("memory"), ttl_micros(self.ttl))
 
 
+def _oldest_us(rows: DataFrame) -> int | None:
+    return rows.agg(F.min(F.unix_micros("arrival_ts"))).first()[0]
+
+
 def remembered_keys(
     spark: SparkSession, target: Target, batch_id: int, envelopes: DataFrame
 ) -> DataFrame | None:
@@ -79,11 +83,11 @@ def remembered_keys(
     if state is not None:
         unseen = read_range(spark, target.table("outcome_log"), S.OUTCOME, state[0] + 1, batch_id - 1)
         if unseen is not None:
-            memory.add(batch_id - 1, unseen.filter(F.col("outcome") == S.PROCESSED))
+            memory.add(batch_id - 1, unseen.filter(F.col("outcome") == S.PROCESSED), _oldest_us(unseen))
             state = memory.state_before(batch_id)
         if not state[1]:
             return None
-    oldest = envelopes.agg(F.min(F.unix_micros("arrival_ts"))).first()[0]
+    oldest = _oldest_us(envelopes)
     alive_us = None if oldest is None else oldest - ttl_micros(target.ttl)
     if state is not None:
         earlier = memory.read(state[1], alive_us)
@@ -109,10 +113,12 @@ def together(*actions: Callable[[], object]) -> None:
 
 
 def write_sinks(
-    spark: SparkSession, target: Target, batch_id: int, processed_at: datetime, remember: bool = False
+    spark: SparkSession, target: Target, batch_id: int, processed_at: datetime, remember: bool = False, oldest_us: int | None = None
 ) -> None:
     """Derive every other sink from one batch of the outcome log, and with ``remember`` the key memory; safe to repeat.
 
+    ``oldest_us`` is the first arrival of the batch, for the memory.
+
     Publishing follows the durable log, so a failure in between repeats it instead of losing it.
     """
     log = read_batch(spark, target.table("outcome_log"), S.OUTCOME, batch_id)
@@ -133,7 +139,7 @@ def write_sinks(
 
     def memory() -> None:
         if remember:
-            target.memory(spark).add(batch_id, processed)
+            target.memory(spark).add(batch_id, processed, oldest_us)
 
     together(lambda: write_batch(quarantine_rows(log), target.table("quarantine"), batch_id), customers, outbound, memory)
 
@@ -160,12 +166,17 @@ def replay_rows(quarantine: DataFrame) -> DataFrame:
     return quarantine.select(*S.ENVELOPE.names)
 
 
-def write_outcomes(spark: SparkSession, target: Target, outcomes: DataFrame, batch_id: int) -> None:
-    """Land a batch in the outcome log; the write counts the outcomes on its way, and they are kept for ``live_counts``."""
+def write_outcomes(spark: SparkSession, target: Target, outcomes: DataFrame, batch_id: int) -> int | None:
+    """Land a batch in the outcome log; the write counts the outcomes on its way, and they are kept for ``live_counts``.
+    Returns the first arrival, in microseconds."""
     seen = Observation()
     counts = [F.count_if(F.col("outcome") == outcome).alias(outcome) for outcome in S.OUTCOMES]
-    write_batch(outcomes.observe(seen, *counts), target.table("outcome_log"), batch_id)
-    Manifests(spark, target.table("counters")).write(batch_id, {"batch_id": batch_id, **seen.get})
+    oldest = F.min(F.unix_micros("arrival_ts")).alias("oldest_us")
+    write_batch(outcomes.observe(seen, oldest, *counts), target.table("outcome_log"), batch_id)
+    found = seen.get
+    oldest_us = found.pop("oldest_us")
+    Manifests(spark, target.table("counters")).write(batch_id, {"batch_id": batch_id, **found})
+    return oldest_us
 
 
 def live_counts(spark: SparkSession, target: Target) -> DataFrame:
@@ -182,5 +193,5 @@ def run_batch(
     with scratch_run(spark):
         seen = remembered_keys(spark, target, batch_id, envelopes)
         outcomes = build_outcomes(envelopes, target.ttl, seen, batch_id)
-        write_outcomes(spark, target, outcomes, batch_id)
-        write_sinks(spark, target, batch_id, processed_at, remember=True)
+        oldest_us = write_outcomes(spark, target, outcomes, batch_id)
+        write_sinks(spark, target, batch_id, processed_at, remember=True, oldest_us=oldest_us)

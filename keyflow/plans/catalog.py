@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,7 +16,7 @@ from keyflow.functions.text import has_text, header_names, iso_instant, last_hea
 from keyflow.functions.trace import extract_context, with_span
 from keyflow.operators import classify, dedup, flags, publish, reports, upsert
 from keyflow.operators.skew import lookup_join
-from keyflow.plans.batch import Target, quarantine_rows, replay_rows, run_batch
+from keyflow.plans.batch import Target, quarantine_rows, replay_rows, run_batch, together
 from keyflow.plans.batch import live_counts as batch_counts
 from keyflow.plans.outcomes import build_outcomes
 from keyflow.plans.testlog import flag_history, flag_rules, inbound_log, landed_log, old_snapshot, unplaced_log
@@ -32,6 +32,8 @@ APPLICATION = "keyflow"
 SLICES = 4
 FILES_PER_BATCH = 1
 HEAVY_ROWS = 3
+#: Bytes of a row group of landed files: what one task reads at least, so that several read a large file.
+ROW_GROUP = 8 * 1024 * 1024
 _written: dict[tuple[str, str], DataFrame] = {}
 PLACE = ["topic", "partition", "offset", "arrival_us"]
 
@@ -390,14 +392,18 @@ def _land(log: DataFrame, path: str) -> None:
     slice may be read in any order."""
     for part in _arrival_slices(log):
         keyed = classify.with_dedup_key(part).repartition("dedup_key")
-        keyed.select(*S.ENVELOPE.names).write.mode("append").parquet(path)
+        keyed.select(*S.ENVELOPE.names).write.mode("append").option("parquet.block.size", ROW_GROUP).parquet(path)
 
 
 def _drain(spark: SparkSession, log: DataFrame, memory: str, **bound: int) -> Target:
     """The log landed and drained by one stream with a bounded intake."""
     target = Target(scratch_path(use_utc(spark), "stream"), flag_rules(spark))
     _land(log, target.table("landing"))
-    run_stream(spark, stream_log(spark, target.table("landing"), **bound), target, PROCESSED_AT, memory)
+    return _drain_landed(spark, target.table("landing"), target, memory, **bound)
+
+
+def _drain_landed(spark: SparkSession, landing: str, target: Target, memory: str, **bound: int) -> Target:
+    run_stream(spark, stream_log(spark, landing, **bound), target, PROCESSED_AT, memory)
     return target
 
 
@@ -450,10 +456,16 @@ def live_hot_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def live_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """What the counters of a bounded stream and of a stream with keyed state say, summed over their micro-batches."""
+    """What the counters of a bounded stream and of a stream with keyed state say, summed over their micro-batches.
+
+    The log is landed once for both, and they drain it at the same time: one's small jobs leave cores to the other."""
+    landing = scratch_path(use_utc(spark), "landing")
+    _land(_log(spark, sf_dir), landing)
+    bounds = {"log": {"max_files": FILES_PER_BATCH}, "state": {}}
+    targets = {memory: Target(scratch_path(spark, "stream"), flag_rules(spark)) for memory in bounds}
+    together(*(partial(_drain_landed, spark, landing, targets[memory], memory, **bound) for memory, bound in bounds.items()))
     views = []
-    for memory, bound in (("log", {"max_files": FILES_PER_BATCH}), ("state", {})):
-        target = _drain(spark, _log(spark, sf_dir), memory, **bound)
+    for memory, target in targets.items():
         totals = batch_counts(spark, target).groupBy("outcome").agg(F.sum("records").alias("records"))
         views.append(totals.withColumn("memory", F.lit(memory)))
     return reduce(DataFrame.unionByName, views)

@@ -2,8 +2,8 @@
 
 Each batch adds one run with the last accepted place of its keys. Runs of one level are merged into one of the next as soon as
 there are ``FAN`` of them, so ``n`` batches leave at most ``FAN`` runs for each power of ``FAN`` in ``n``, and a key is
-rewritten once per level. A manifest names the runs with the time of their newest place: a run that is over a TTL old is
-neither read nor kept. What a batch reads depends on the keys of one TTL, not on how many batches there were.
+rewritten once per level. A manifest names the runs with the time of their newest place: a run that is over a TTL older than
+the batch is not read, and one two TTLs older not kept. What a batch reads depends on the keys of one TTL, not on how many batches there were.
 """
 
 from __future__ import annotations
@@ -41,20 +41,24 @@ class KeyMemory:
         folders = [run["folder"] for run in runs if alive_us is None or run["newest_us"] > alive_us]
         return self.spark.read.schema(KEPT).parquet(*(f"{self.path}/{folder}" for folder in folders)) if folders else None
 
-    def add(self, batch_id: int, accepted: DataFrame) -> None:
-        """The accepted rows of a batch become a run of its state; running it again replaces that."""
+    def add(self, batch_id: int, accepted: DataFrame, oldest_us: int | None = None) -> None:
+        """The accepted rows of a batch become a run of its state; running it again replaces that.
+
+        What is two TTLs older than ``oldest_us``, the first arrival of the batch, goes: the next batch may come from
+        the same stretch of time, however long that is. Without it the newest place counts.
+        """
         state = self.state_before(batch_id)
         if state is None:
             return
         runs = [*state[1], *self._write(accepted, 0)]
         newest = max((run["newest_us"] for run in runs), default=0)
-        runs = [run for run in runs if run["newest_us"] > newest - 2 * self.ttl_us]
+        expired = (newest if oldest_us is None else min(newest, oldest_us)) - 2 * self.ttl_us
+        runs = [run for run in runs if run["newest_us"] > expired]
         level = 0
         while any(run["level"] >= level for run in runs):
             same = [run for run in runs if run["level"] == level]
             if len(same) >= self.fan:
-                alive = F.timestamp_micros(F.lit(newest - 2 * self.ttl_us))
-                merged = self.read(same).filter(F.col("arrival_ts") > alive)
+                merged = self.read(same).filter(F.col("arrival_ts") > F.timestamp_micros(F.lit(expired)))
                 runs = [run for run in runs if run["level"] != level] + self._write(merged, level + 1)
             level += 1
         replaced = self._folders([batch_id]) if batch_id in self.manifests.versions() else set()

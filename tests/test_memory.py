@@ -51,6 +51,17 @@ def test_expired_runs_are_neither_read_nor_kept(spark, tmp_path):
     assert memory.read([], 0) is None
 
 
+def test_batches_of_one_long_stretch_remember_what_came_before_it(spark, tmp_path):
+    """The first batch of a stretch of many TTLs must not expire what the others of it still need."""
+    target = Target(str(tmp_path / "out"), spark.createDataFrame([], S.FLAG_RULES))
+    batches = [[envelope("a", 0, 0, key="k")], [envelope("b", 1, 5), envelope("b", 2, 30)], [envelope("a", 3, 6, key="k"), envelope("a", 4, 29)]]
+    for number, rows in enumerate(batches):
+        run_batch(spark, log_of(spark, rows), target, number, AT)
+    log = read_batches(spark, target.table("outcome_log"), S.OUTCOME)
+    assert [r.offset for r in log.filter("outcome = 'DUPLICATE_SKIPPED'").collect()] == [3]
+    assert target.memory(spark).state_before(3)[1]
+
+
 def test_empty_batches_and_repeats_leave_no_folder(spark, tmp_path):
     memory = KeyMemory(spark, str(tmp_path / "memory"), TTL)
     memory.add(0, accepted(spark, []))

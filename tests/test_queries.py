@@ -38,3 +38,11 @@ def test_fixture_counts(spark):
     state = reports.commit_state(catalog._polls(spark, SF_DIR)).groupBy("committed", "redelivered").count()
     got = {(r.committed, r.redelivered): r["count"] for r in state.collect()}
     assert got == {(True, False): 704, (False, True): 267, (False, False): 29}
+
+def test_counts_of_both_streams_come_from_one_landing(spark, monkeypatch):
+    landed, land = [], catalog._land
+    monkeypatch.setattr(catalog, "_land", lambda log, path: landed.append(path) or land(log, path))
+    found = catalog.live_counts(spark, SF_DIR).collect()
+    assert len(landed) == 1 and {r.memory for r in found} == {"log", "state"}
+    counts = {(r.memory, r.outcome): r.records for r in found}
+    assert all(counts["log", outcome] == counts["state", outcome] for _, outcome in counts)
